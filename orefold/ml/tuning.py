@@ -126,7 +126,7 @@ def search(
         try:
             cv = CrossValidator(estimator=classifier(params), estimatorParamMaps=ParamGridBuilder().build(),
                                 evaluator=evaluator, numFolds=folds, foldCol="fold")
-            return Trial(number, params, cv.fit(prepared).avgMetrics[0])
+            return Trial(number, params, float(cv.fit(prepared).avgMetrics[0]))
         except Exception as error:  # a trial may fail for any reason; the study goes on
             return Trial(number, params, None, str(error)[:500])
 

@@ -100,24 +100,30 @@ def fact_final_stats(fact: DataFrame) -> DataFrame:
     ).select(F.lit("fact_sales").alias("table_name"), "*")
 
 
+def _by_member(rows: DataFrame, key: str, dimension: DataFrame, attributes: Sequence[str],
+               *measures: Column) -> DataFrame:
+    """Measures per current dimension member.
+
+    Attributes depend on the surrogate key alone, so the fact is grouped by that key and only the
+    grouped rows meet the dimension: no fact row is joined, no attribute text is shuffled with it.
+    """
+    grouped = rows.groupBy(key).agg(*measures)
+    return grouped.join(current(dimension).select(key, *attributes), key).drop(key)
+
+
 def top_customers(star: Star, n: int = 10) -> DataFrame:
     group = ["cust_customer_id", "cust_full_name", "cust_company_name"]
-    joined = star.known(CUSTOMER_SK).join(current(star.customer).select(CUSTOMER_SK, *group), CUSTOMER_SK)
-    return (
-        joined.groupBy(*group)
-        .agg(_orders(), _quantity(), _revenue(), mean("sales_line_total", "avg_order_value"))
-        .orderBy(F.desc("total_revenue"), "cust_customer_id").limit(n)
-    )
+    totals = _by_member(star.known(CUSTOMER_SK), CUSTOMER_SK, star.customer, group,
+                        _orders(), _quantity(), _revenue(), mean("sales_line_total", "avg_order_value"))
+    return totals.orderBy(F.desc("total_revenue"), "cust_customer_id").limit(n)
 
 
 def top_products(star: Star, n: int = 10) -> DataFrame:
     group = ["prod_product_id", "prod_name", "prod_category_hierarchy", "prod_list_price", "prod_profit_margin"]
-    joined = star.known(PRODUCT_SK).join(current(star.product).select(PRODUCT_SK, *group), PRODUCT_SK)
-    return (
-        joined.groupBy(*group)
-        .agg(_orders(), _quantity("total_quantity_sold"), _revenue(), mean("sales_unit_price", "avg_selling_price"))
-        .orderBy(F.desc("total_revenue"), "prod_product_id").limit(n)
-    )
+    totals = _by_member(star.known(PRODUCT_SK), PRODUCT_SK, star.product, group,
+                        _orders(), _quantity("total_quantity_sold"), _revenue(),
+                        mean("sales_unit_price", "avg_selling_price"))
+    return totals.orderBy(F.desc("total_revenue"), "prod_product_id").limit(n)
 
 
 def _by_category(star: Star, group: Sequence[str]) -> DataFrame:
@@ -195,12 +201,9 @@ def category_view(star: Star) -> DataFrame:
 
 def customer_view(star: Star) -> DataFrame:
     group = ["cust_customer_id", "cust_full_name", "cust_company_name", "cust_email_address"]
-    joined = (
-        star.known(CUSTOMER_SK)
-        .join(current(star.customer).select(CUSTOMER_SK, *group), CUSTOMER_SK)
-        .join(star.calendar.select(CALENDAR_SK, "cal_date"), CALENDAR_SK)
-    )
-    return joined.groupBy(*group).agg(
+    dated = star.known(CUSTOMER_SK).join(star.calendar.select(CALENDAR_SK, "cal_date"), CALENDAR_SK)
+    return _by_member(
+        dated, CUSTOMER_SK, star.customer, group,
         _orders("total_orders"),
         _quantity("total_items_purchased"),
         _revenue(),

@@ -106,12 +106,21 @@ def fact(spark, folder, with_orders: bool = True) -> DataFrame:
     return fact_amounts(lines.select(*columns, *keys, *measures))
 
 
-def star(spark, folder, with_orders: bool = True) -> Star:
-    return Star(
-        fact=fact(spark, folder, with_orders),
-        customer=customers(spark, folder),
-        geography=places(spark, folder),
-        product=products(spark, folder),
-        category=categories(spark, folder),
-        calendar=calendar(spark),
-    )
+class SampleStar:
+    """The star of the last snapshot; a table is only put together when a query asks for it."""
+
+    def __init__(self, spark: SparkSession, folder: str, with_orders: bool = True):
+        self._spark, self._folder, self._with_orders = spark, folder, with_orders
+
+    fact = property(lambda self: fact(self._spark, self._folder, self._with_orders))
+    customer = property(lambda self: customers(self._spark, self._folder))
+    geography = property(lambda self: places(self._spark, self._folder))
+    product = property(lambda self: products(self._spark, self._folder))
+    category = property(lambda self: categories(self._spark, self._folder))
+    calendar = property(lambda self: calendar(self._spark))
+
+    known = Star.known
+
+
+def star(spark: SparkSession, folder: str, with_orders: bool = True) -> SampleStar:
+    return SampleStar(spark, folder, with_orders)
