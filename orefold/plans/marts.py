@@ -6,8 +6,10 @@ Every ranked result has the group's key as its last sort column, so ties have on
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -126,42 +128,85 @@ def top_products(star: Star, n: int = 10) -> DataFrame:
     return totals.orderBy(F.desc("total_revenue"), "prod_product_id").limit(n)
 
 
-def _by_category(star: Star, group: Sequence[str]) -> DataFrame:
-    """Fact lines with product id and category columns; the two dimensions are joined first."""
+def _by_attribute(
+    rows: DataFrame,
+    key: str,
+    dimension: DataFrame,
+    group: Sequence[str],
+    sums: Mapping[str, tuple[str, str]],
+    distinct: Mapping[str, str],
+    means: Mapping[str, str] = {},
+    lines: str | None = None,
+    members: str | None = None,
+) -> DataFrame:
+    """Measures and distinct counts per attribute group of a dimension.
+
+    Two branches that read different columns of the fact. Measures are summed per surrogate key
+    before the dimension is joined, so they shrink to one row per member at once. Distinct counts
+    need the single rows, but only key and counted columns. Counting distinct values next to the
+    measures would instead copy every fact row, measures included, once per distinct count.
+    ``members`` names the count of dimension members with sales.
+    """
+    attributes = dimension.select(key, *group)
+    used = list(dict.fromkeys([c for c, _ in sums.values()] + list(means.values())))
+    partial = rows.groupBy(key).agg(
+        F.count(F.lit(1)).alias("_lines"),
+        *[F.sum(c).alias(f"_sum_{c}") for c in used],
+        *[F.count(c).alias(f"_n_{c}") for c in means.values()],
+    )
+    totals = [F.sum(f"_sum_{c}").cast(kind).alias(name) for name, (c, kind) in sums.items()]
+    totals += [(F.sum(f"_sum_{c}").cast("double") / F.sum(f"_n_{c}")).alias(name) for name, c in means.items()]
+    if lines:
+        totals.append(F.sum("_lines").alias(lines))
+    if members:
+        totals.append(F.count(F.lit(1)).alias(members))
+    measured = partial.join(attributes, key).groupBy(*group).agg(*totals)
+
+    counted = (
+        rows.select(key, *[F.col(c) if c != key else F.col(c).alias(f"_{c}") for c in distinct.values()])
+        .join(attributes, key).groupBy(*group)
+        .agg(*[F.count_distinct(c if c != key else f"_{c}").alias(name) for name, c in distinct.items()])
+        .select(*[F.col(c).alias(f"_g_{c}") for c in group], *distinct)
+    )
+    same = reduce(and_, [measured[c].eqNullSafe(counted[f"_g_{c}"]) for c in group])
+    return measured.join(counted, same).drop(*[f"_g_{c}" for c in group])
+
+
+QUANTITY = ("sales_order_qty", "bigint")
+REVENUE = ("sales_line_total", "decimal(38,6)")
+
+
+def _category_members(star: Star, group: Sequence[str]) -> DataFrame:
+    """Current products with columns of their current category."""
     categories = current(star.category).select(CATEGORY_SK, *group)
-    products = current(star.product).select(PRODUCT_SK, "prod_product_id", CATEGORY_SK).join(categories, CATEGORY_SK)
-    return star.known(PRODUCT_SK).join(products.drop(CATEGORY_SK), PRODUCT_SK)
+    return current(star.product).select(PRODUCT_SK, CATEGORY_SK).join(categories, CATEGORY_SK)
 
 
 def sales_by_category(star: Star, n: int = 20) -> DataFrame:
     group = ["prod_cat_level", "prod_cat_hierarchy_path"]
-    return (
-        _by_category(star, group).groupBy(*group)
-        .agg(_orders(), F.count_distinct("prod_product_id").alias("distinct_products_sold"), _quantity(),
-             _revenue(), mean("sales_unit_price", "avg_unit_price"))
-        .orderBy(F.desc("total_revenue"), *group).limit(n)
-    )
+    return _by_attribute(
+        star.known(PRODUCT_SK), PRODUCT_SK, _category_members(star, group), group,
+        {"total_quantity": QUANTITY, "total_revenue": REVENUE}, {"order_count": "sales_order_id"},
+        {"avg_unit_price": "sales_unit_price"}, members="distinct_products_sold",
+    ).orderBy(F.desc("total_revenue"), *group).limit(n)
 
 
 def sales_by_month(star: Star) -> DataFrame:
-    joined = star.fact.join(star.calendar.select(CALENDAR_SK, *CALENDAR_GROUP), CALENDAR_SK)
-    return (
-        joined.groupBy(*CALENDAR_GROUP)
-        .agg(_orders(), F.count(F.lit(1)).alias("line_count"), _quantity(), _revenue(),
-             mean("sales_line_total", "avg_line_value"))
-        .orderBy("cal_year", "cal_month")
-    )
+    return _by_attribute(
+        star.fact, CALENDAR_SK, star.calendar, CALENDAR_GROUP,
+        {"total_quantity": QUANTITY, "total_revenue": REVENUE}, {"order_count": "sales_order_id"},
+        {"avg_line_value": "sales_line_total"}, lines="line_count",
+    ).orderBy("cal_year", "cal_month")
 
 
 def sales_by_geography(star: Star, n: int = 20) -> DataFrame:
     group = ["geo_country_region", "geo_state_province"]
-    joined = star.known(GEOGRAPHY_SK).join(current(star.geography).select(GEOGRAPHY_SK, *group), GEOGRAPHY_SK)
-    return (
-        joined.groupBy(*group)
-        .agg(_orders(), F.count_distinct(CUSTOMER_SK).alias("distinct_customers"), _quantity(), _revenue(),
-             mean("sales_line_total", "avg_order_line_value"))
-        .orderBy(F.desc("total_revenue"), *group).limit(n)
-    )
+    return _by_attribute(
+        star.known(GEOGRAPHY_SK), GEOGRAPHY_SK, current(star.geography), group,
+        {"total_quantity": QUANTITY, "total_revenue": REVENUE},
+        {"order_count": "sales_order_id", "distinct_customers": CUSTOMER_SK},
+        {"avg_order_line_value": "sales_line_total"},
+    ).orderBy(F.desc("total_revenue"), *group).limit(n)
 
 
 def discount_analysis(fact: DataFrame) -> DataFrame:
@@ -174,28 +219,27 @@ def discount_analysis(fact: DataFrame) -> DataFrame:
 
 
 def sales_by_price_range(star: Star) -> DataFrame:
-    products = current(star.product).select(PRODUCT_SK, "prod_product_id", "prod_price_range")
-    return (
-        star.known(PRODUCT_SK).join(products, PRODUCT_SK).groupBy("prod_price_range")
-        .agg(_orders(), F.count_distinct("prod_product_id").alias("distinct_products"),
-             _quantity("total_quantity_sold"), _revenue(), mean("sales_line_total", "avg_line_value"))
-        .orderBy(rank_of("prod_price_range", PRICE_BANDS))
-    )
+    return _by_attribute(
+        star.known(PRODUCT_SK), PRODUCT_SK, current(star.product), ["prod_price_range"],
+        {"total_quantity_sold": QUANTITY, "total_revenue": REVENUE}, {"order_count": "sales_order_id"},
+        {"avg_line_value": "sales_line_total"}, members="distinct_products",
+    ).orderBy(rank_of("prod_price_range", PRICE_BANDS))
 
 
 def monthly_view(star: Star) -> DataFrame:
-    joined = star.fact.join(star.calendar.select(CALENDAR_SK, *CALENDAR_GROUP), CALENDAR_SK)
-    return joined.groupBy(*CALENDAR_GROUP).agg(
-        _orders(), _quantity(), _revenue(),
-        F.count_distinct(CUSTOMER_SK).alias("distinct_customers"),
-        F.count_distinct(PRODUCT_SK).alias("distinct_products"),
+    return _by_attribute(
+        star.fact, CALENDAR_SK, star.calendar, CALENDAR_GROUP,
+        {"total_quantity": QUANTITY, "total_revenue": REVENUE},
+        {"order_count": "sales_order_id", "distinct_customers": CUSTOMER_SK, "distinct_products": PRODUCT_SK},
     )
 
 
 def category_view(star: Star) -> DataFrame:
     group = ["prod_cat_level", "prod_cat_hierarchy_path", "prod_cat_name"]
-    return _by_category(star, group).groupBy(*group).agg(
-        _orders(), _quantity(), _revenue(), F.count_distinct(CUSTOMER_SK).alias("distinct_customers"),
+    return _by_attribute(
+        star.known(PRODUCT_SK), PRODUCT_SK, _category_members(star, group), group,
+        {"total_quantity": QUANTITY, "total_revenue": REVENUE},
+        {"order_count": "sales_order_id", "distinct_customers": CUSTOMER_SK},
     )
 
 
