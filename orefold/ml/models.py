@@ -53,3 +53,8 @@ def feature_importance(model: PipelineModel, df: DataFrame) -> DataFrame:
     names = feature_names(model.transform(df.limit(0)))
     weights = model.stages[-1].featureImportances.toArray().tolist()
     return df.sparkSession.createDataFrame(list(zip(names, weights)), "feature string, importance double")
+
+
+def tree_rules(model: PipelineModel) -> str:
+    """The fitted tree as nested if/else text."""
+    return model.stages[-1].toDebugString

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from orefold.functions import date_key, safe_measure
 from orefold.operators.merge import upsert
 from orefold.operators.scd2 import load_time
-from orefold.operators.star import Lookup, fact_amounts, star_lookup
+from orefold.operators.star import UNKNOWN_KEY, Lookup, fact_amounts, star_lookup
 
 FACT_KEYS = ["sales_order_id", "sales_order_detail_id"]
 MEASURES = {
@@ -40,34 +40,31 @@ def stage_sales(
 
     A key is known only if the member is current in silver and in gold, so each dimension is first
     cut down to members that silver still has (semi join, one row per member) and then looked up
-    once. The order id comes from the line, so lines without a header keep their identity; their
-    date key is NULL and their customer unknown. Without products (course edition) the fact has no
-    product key.
+    once. Customer and place belong to the order, so they are looked up per order header; a line
+    meets its header with the keys already resolved, and only that join and the product lookup see
+    the lines. The order id comes from the line, so lines without a header keep their identity;
+    their date key is NULL and their customer unknown. Without products (course edition) the fact
+    has no product key.
     """
     customer_sk, geography_sk = f"_tf_dim_customer_{suffix}", f"_tf_dim_geography_{suffix}"
-    orders = header.select(
-        F.col("sales_order_id").alias("_order"), "order_date", "customer_id", "bill_to_address_id"
-    )
-    lines = detail.join(orders, F.col("sales_order_id") == F.col("_order"), "left").drop("_order")
+    calendar_sk = f"_tf_dim_calendar_{suffix}"
     customers = dim_customer.join(_ids(customer, "customer_id", "cust_customer_id"), "cust_customer_id", "left_semi")
     places = dim_geography.join(_ids(address, "address_id", "geo_address_id"), "geo_address_id", "left_semi")
-    lookups = [
-        Lookup(customers, "customer_id", "cust_customer_id", customer_sk),
-        Lookup(places, "bill_to_address_id", "geo_address_id", geography_sk),
-    ]
-    keys = [customer_sk, geography_sk]
+    orders = star_lookup(
+        header.select("sales_order_id", date_key("order_date").alias(calendar_sk), "customer_id", "bill_to_address_id"),
+        [Lookup(customers, "customer_id", "cust_customer_id", customer_sk),
+         Lookup(places, "bill_to_address_id", "geo_address_id", geography_sk)],
+    ).select("sales_order_id", calendar_sk, customer_sk, geography_sk)
+    measured = [safe_measure(c, kind).alias(name) for name, (c, kind) in MEASURES.items()]
+    lines = detail.select(*FACT_KEYS, "product_id", *measured).join(orders, "sales_order_id", "left")
+    lines = lines.fillna(UNKNOWN_KEY, [customer_sk, geography_sk])
+    keys = [calendar_sk, customer_sk, geography_sk]
     if dim_product is not None:
         product_sk = f"_tf_dim_product_{suffix}"
         goods = dim_product.join(_ids(product, "product_id", "prod_product_id"), "prod_product_id", "left_semi")
-        lookups.append(Lookup(goods, "product_id", "prod_product_id", product_sk))
+        lines = star_lookup(lines, [Lookup(goods, "product_id", "prod_product_id", product_sk)])
         keys.append(product_sk)
-    found = star_lookup(lines, lookups)
-    return found.select(
-        *FACT_KEYS,
-        date_key("order_date").alias(f"_tf_dim_calendar_{suffix}"),
-        *keys,
-        *[safe_measure(c, kind).alias(name) for name, (c, kind) in MEASURES.items()],
-    )
+    return lines.select(*FACT_KEYS, *keys, *MEASURES)
 
 
 def tracked_columns(staged: DataFrame) -> list[str]:

@@ -15,7 +15,8 @@ QUERIES = {
     "sales_by_month": lambda spark, folder: marts.sales_by_month(star(spark, folder)),
     "sales_by_geography": lambda spark, folder: marts.sales_by_geography(star(spark, folder)),
     "discount_bands": lambda spark, folder: marts.discount_analysis(fact(spark, folder, with_orders=False)),
-    "sales_by_price_range": lambda spark, folder: marts.sales_by_price_range(star(spark, folder, with_orders=False)),
+    "sales_by_price_range": lambda spark, folder: marts.sales_by_price_range(
+        star(spark, folder, with_orders=False, described=False)),
     "v_sales_monthly": lambda spark, folder: marts.monthly_view(star(spark, folder)),
     "v_sales_by_category": lambda spark, folder: marts.category_view(star(spark, folder)),
     "v_customer_performance": lambda spark, folder: marts.customer_view(star(spark, folder)),

@@ -74,11 +74,12 @@ def categories(spark, folder) -> DataFrame:
     return _dimension(rows, "prod_cat_id", "_tf_dim_product_category_sk")
 
 
-def products(spark, folder) -> DataFrame:
-    rows = dims.product_attributes(
-        renamed(spark, folder, "product"), categories(spark, folder),
-        renamed(spark, folder, "productmodel"), AS_OF,
-    )
+def products(spark, folder, described: bool = True) -> DataFrame:
+    """Product dimension; ``described=False`` leaves category and model texts at their defaults."""
+    tree, models = categories(spark, folder), renamed(spark, folder, "productmodel")
+    if not described:
+        tree, models = (spark.createDataFrame([], df.schema) for df in (tree, models))
+    rows = dims.product_attributes(renamed(spark, folder, "product"), tree, models, AS_OF)
     return _dimension(rows, "prod_product_id", "_tf_dim_product_sk")
 
 
@@ -109,18 +110,19 @@ def fact(spark, folder, with_orders: bool = True) -> DataFrame:
 class SampleStar:
     """The star of the last snapshot; a table is only put together when a query asks for it."""
 
-    def __init__(self, spark: SparkSession, folder: str, with_orders: bool = True):
-        self._spark, self._folder, self._with_orders = spark, folder, with_orders
+    def __init__(self, spark: SparkSession, folder: str, with_orders: bool = True, described: bool = True):
+        self._spark, self._folder = spark, folder
+        self._with_orders, self._described = with_orders, described
 
     fact = property(lambda self: fact(self._spark, self._folder, self._with_orders))
     customer = property(lambda self: customers(self._spark, self._folder))
     geography = property(lambda self: places(self._spark, self._folder))
-    product = property(lambda self: products(self._spark, self._folder))
+    product = property(lambda self: products(self._spark, self._folder, self._described))
     category = property(lambda self: categories(self._spark, self._folder))
     calendar = property(lambda self: calendar(self._spark))
 
     known = Star.known
 
 
-def star(spark: SparkSession, folder: str, with_orders: bool = True) -> SampleStar:
-    return SampleStar(spark, folder, with_orders)
+def star(spark: SparkSession, folder: str, with_orders: bool = True, described: bool = True) -> SampleStar:
+    return SampleStar(spark, folder, with_orders, described)

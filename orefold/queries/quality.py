@@ -24,7 +24,7 @@ def orphans(spark, folder):
         ForeignKey("Missing Geography Keys", "_tf_dim_geography_sk",
                    places(spark, folder).filter("geo_country_region <> 'ASIA'"), "_tf_dim_geography_sk"),
         ForeignKey("Missing Product Keys", "_tf_dim_product_sk",
-                   products(spark, folder).filter("prod_weight_range <> 'N/A'"), "_tf_dim_product_sk"),
+                   products(spark, folder, described=False).filter("prod_weight_range <> 'N/A'"), "_tf_dim_product_sk"),
     ])
     return union_all([checks, null_key_check(rows, {"NULL Calendar Keys": "_tf_dim_calendar_sk"})])
 

@@ -212,16 +212,20 @@ class SampleSource:
         )
 
     def productcategory(self) -> DataFrame:
-        """Three levels: type, brand within type, size class within brand."""
+        """Three levels: type, brand within type, size class within brand.
+
+        Parts are reduced to their few distinct paths first; ids and levels are made from those.
+        """
         root = F.when(self._changed(F.col("p_type") == "PROMO"), "PROMOTION").otherwise(F.col("p_type"))
         no_parent = F.lit(None).cast("int")
         nodes = F.array(
             F.struct(category_id(1).alias("id"), no_parent.alias("parent"), root.alias("name")),
             F.struct(category_id(2).alias("id"), category_id(1).alias("parent"), F.col("p_brand").alias("name")),
-            F.struct(category_id(3).alias("id"), category_id(2).alias("parent"), size_class().alias("name")),
+            F.struct(category_id(3, "size_class").alias("id"), category_id(2).alias("parent"),
+                     F.col("size_class").alias("name")),
         )
         return (
-            self.table("part").select("p_type", "p_brand", "p_size")
+            self.table("part").select("p_type", "p_brand", size_class().alias("size_class")).distinct()
             .select(F.explode(nodes).alias("n")).select("n.*").distinct()
             .select(
                 F.col("id").alias("ProductCategoryID"),
@@ -314,8 +318,8 @@ def size_class() -> Column:
     return F.when(F.col("p_size") <= 25, "Compact").otherwise("Large")
 
 
-def category_id(level: int) -> Column:
-    names = [F.col("p_type"), F.col("p_brand"), size_class()][:level]
+def category_id(level: int, class_column: str | None = None) -> Column:
+    names = [F.col("p_type"), F.col("p_brand"), F.col(class_column) if class_column else size_class()][:level]
     return digit_id(names, hex_digits=7).cast("int")
 
 

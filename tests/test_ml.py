@@ -44,6 +44,7 @@ def test_tree_learns_and_survives_the_registry(spark, people, tmp_path):
     assert models.accuracy(scored).first().accuracy > 0.9
     importance = {r.feature: r.importance for r in models.feature_importance(model, people).collect()}
     assert importance["age_imputed"] > 0.8
+    assert "feature 0 <=" in models.tree_rules(model)
     registry = ModelRegistry(spark, str(tmp_path / "models"))
     assert registry.register("tree", model, people, models.TREE, {"accuracy": 0.95}, {"note": "first"}) == 1
     assert registry.register("tree", model, people) == 2
