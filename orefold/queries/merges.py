@@ -103,6 +103,16 @@ def scalar_lookup(spark, folder):
     return with_parent_category(rows, bronze(spark, folder, "productcategory"))
 
 
+def category_view_history(spark, folder):
+    """History of the category view: hashed on names, parent id looked up when a version is added."""
+    def load(snapshot: int):
+        rows = hashed(spark, folder, "vgetallcategories", snapshot)
+        return with_parent_category(rows, bronze(spark, folder, "productcategory", snapshot))
+
+    first = scd2.first_versions(load(1), LOAD_TIMES[1])
+    return scd2.scd2_apply(first, load(2), ["product_category_id"], LOAD_TIMES[2])
+
+
 def keys(spark, folder):
     """Gap-free surrogate keys for all order lines."""
     rows = renamed(spark, folder, "sales_order_detail").select("sales_order_id", "sales_order_detail_id")
@@ -127,6 +137,10 @@ QUERIES = {
     "scd2_hash": lambda spark, folder: hash_history(spark, folder, "customer", 2),
     "scd2_hash_composite": lambda spark, folder: hash_history(spark, folder, "sales_order_detail", 2),
     "scd2_hash_header": lambda spark, folder: hash_history(spark, folder, "sales_order_header", 2),
+    "scd2_hash_product": lambda spark, folder: hash_history(spark, folder, "product", 2).drop(
+        "thumbnail_photo", "thumbnail_photo_file_name"),
+    "scd2_hash_three_keys": lambda spark, folder: hash_history(spark, folder, "productmodelproductdescription", 2),
+    "scd2_hash_view": category_view_history,
     "scd2_reappear": lambda spark, folder: hash_history(spark, folder, "customer", 3),
     "scd2_reload": scd2_reload,
     "version_timeline": timeline,
@@ -192,6 +206,15 @@ def _all_categories(s: int) -> str:
       FROM ({nodes}) c LEFT JOIN ({nodes}) p ON c.parent_product_category_id = p.product_category_id"""
 
 
+_PRODUCT_HASHED = [c for c in q.PRODUCT_COLUMNS if c not in ("product_id", "rowguid")]
+_VIEW = [f"""SELECT v.category_id AS product_category_id, v.category_name AS name, c.parent_product_category_id,
+    {q.hash_of(['v.parent_name', 'v.category_name'])} AS _tf_row_hash
+    FROM ({_all_categories(s)}) v JOIN ({q.category(s)}) c ON c.product_category_id = v.category_id""" for s in (1, 2)]
+_THREE = f"""SELECT {q.MODEL_ID} AS product_model_id, CAST({q.text_id(['p_brand', 'culture'], 7)} AS INTEGER)
+    AS product_description_id, culture, md5(p_brand) AS rowguid, {q.OLD} AS modified_date
+    FROM (SELECT DISTINCT p_brand FROM part), (VALUES ('en'), ('fr')) t(culture)"""
+_THREE_COLUMNS = ["product_model_id", "product_description_id", "culture", "rowguid", "modified_date"]
+_THREE_HASHED = q.with_hash(_THREE, ["product_model_id", "product_description_id", "culture", "modified_date"])
 _KINDS = "CASE WHEN o.{k} IS NULL THEN 'INSERT' WHEN n.{k} IS NULL THEN 'TARGET_ONLY' WHEN o._tf_row_hash <> n._tf_row_hash THEN 'UPDATE' ELSE 'SAME' END"
 _attributes = [c for c in _C if c != "customer_id"]
 
@@ -224,6 +247,10 @@ ORACLE = {
     "scd2_hash": q.history(_CUSTOMER[:2], ["customer_id"], _C),
     "scd2_hash_composite": q.history(_DETAIL[:2], ["sales_order_id", "sales_order_detail_id"], _D),
     "scd2_hash_header": q.history(_HEADER[:2], ["sales_order_id"], _H),
+    "scd2_hash_product": q.history(
+        [q.with_hash(q.product(s), _PRODUCT_HASHED) for s in (1, 2)], ["product_id"], q.PRODUCT_COLUMNS),
+    "scd2_hash_three_keys": q.history([_THREE_HASHED] * 2, _THREE_COLUMNS[:3], _THREE_COLUMNS),
+    "scd2_hash_view": q.history(_VIEW, ["product_category_id"], ["product_category_id", "name", "parent_product_category_id"]),
     "scd2_reappear": q.history(_CUSTOMER, ["customer_id"], _C),
     "scd2_reload": q.history(_CUSTOMER[:1], ["customer_id"], _C),
     "version_timeline": f"""SELECT sales_order_id, sales_order_detail_id, _tf_valid_from, _tf_valid_to, _tf_create_date,

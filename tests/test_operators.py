@@ -103,3 +103,12 @@ def test_compact_keeps_rows(spark, rows):
     df = spark.range(100).select((F.col("id") % 7).alias("k"), F.col("id").alias("v"))
     for out in (compact(df, ["k"], 3), compact(df, ["k", "v"]), compact(df), compact(df, files=2)):
         assert rows(out) == rows(df)
+
+
+def test_curve_clusters_every_column(spark, rows):
+    df = spark.range(64 * 64).select((F.col("id") % 64).alias("a"), (F.col("id") / 64).cast("int").alias("b"))
+    out = compact(df, ["a", "b"], 8, curve=True)
+    assert rows(out) == rows(df)
+    spans = out.groupBy(F.spark_partition_id()).agg(
+        (F.max("a") - F.min("a")).alias("a"), (F.max("b") - F.min("b")).alias("b")).collect()
+    assert sum(r.a for r in spans) / len(spans) < 48 and sum(r.b for r in spans) / len(spans) < 48
