@@ -32,6 +32,17 @@ def digit_id(columns: Iterable[str | Column], hex_digits: int = 15) -> Column:
     return F.conv(F.substring(row_hash(columns), 1, hex_digits), 16, 10).cast("bigint")
 
 
+def content_digest(columns: Iterable[str]) -> tuple[Column, Column]:
+    """Two 64-bit hashes that together stand for the columns' values.
+
+    The hash function passes over NULLs, so which columns are NULL is hashed along: a value that
+    moves from one column to another changes the digest. Both sides of a comparison need equal types.
+    """
+    names = list(columns)
+    nulls = F.concat(*[F.col(c).isNull().cast("int").cast("string") for c in names])
+    return F.xxhash64(*names, nulls), F.xxhash64(nulls, *reversed(names))
+
+
 def fill_text(value: str | Column, default: str = "N/A", trim: bool = False, case: str | None = None) -> Column:
     """Text with a default for NULL, optionally trimmed and put in ``upper`` or ``lower`` case."""
     out = F.coalesce(_col(value).cast("string"), F.lit(default))

@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def interleaved(df: DataFrame, columns: Sequence[str], bits: int = 4) -> Column:
-    """Position of a row on a Z-shaped curve through ``columns`` (numeric).
+def along_curve(df: DataFrame, columns: Sequence[str], name: str, bits: int = 4) -> DataFrame:
+    """Adds a row's position on a Z-shaped curve through numeric ``columns``.
 
     Each column is cut into ``2**bits`` ranges of about equal row count (one pass for all columns,
     a few limits per column come back); the range numbers' bits are then interleaved, so rows that
@@ -23,13 +23,14 @@ def interleaved(df: DataFrame, columns: Sequence[str], bits: int = 4) -> Column:
         above = [F.coalesce((F.col(column) > bound).cast("int"), F.lit(0)) for bound in sorted(set(bounds))]
         return reduce(lambda a, b: a + b, above, F.lit(0))
 
-    places = [place(c, bounds) for c, bounds in zip(columns, limits)]
+    places = [f"_place_{i}" for i in range(len(columns))]
+    ranged = df.withColumns({p: place(c, bounds) for p, c, bounds in zip(places, columns, limits)})
     parts = [
-        F.shiftleft(F.shiftright(value, bit).bitwiseAND(F.lit(1)), bit * len(places) + offset)
+        F.shiftleft(F.shiftright(p, bit).bitwiseAND(F.lit(1)), bit * len(places) + offset)
         for bit in range(bits)
-        for offset, value in enumerate(reversed(places))
+        for offset, p in enumerate(reversed(places))
     ]
-    return reduce(lambda a, b: a + b, parts)
+    return ranged.withColumn(name, reduce(lambda a, b: a + b, parts)).drop(*places)
 
 
 def compact(df: DataFrame, cluster_by: Sequence[str] = (), files: int | None = None, curve: bool = False) -> DataFrame:
@@ -42,7 +43,7 @@ def compact(df: DataFrame, cluster_by: Sequence[str] = (), files: int | None = N
     if not cluster_by:
         return df.repartition(files) if files else df.hint("rebalance")
     if curve:
-        laid = df.withColumn("_curve", interleaved(df, cluster_by))
+        laid = along_curve(df, cluster_by, "_curve")
         return compact(laid, ["_curve", *cluster_by], files).drop("_curve")
     spread = df.repartitionByRange(files, *cluster_by) if files else df.repartitionByRange(*cluster_by)
     return spread.sortWithinPartitions(*cluster_by)

@@ -149,3 +149,17 @@ def test_history_against_a_plain_python_model(spark, lake):
     expected = versions + [(k, v, since, None) for k, (v, since) in current.items()]
     found = lake.read("silver", "r").select("id", "a", "_tf_valid_from", "_tf_valid_to").collect()
     assert sorted(map(tuple, found), key=str) == sorted(expected, key=str)
+
+
+def test_digest_sees_values_that_change_columns(spark, lake, rows):
+    schema = "id int, a string, b string, c decimal(19,4)"
+    first = spark.createDataFrame([(1, None, "x", None), (2, "x", None, None), (3, "", None, None), (4, None, None, None)], schema)
+    second = spark.createDataFrame([(1, "x", None, None), (2, "x", None, None), (3, None, "", None), (4, None, None, None)], schema)
+    load_history(lake, "silver", "d", first, ["id"], D1, ["a", "b", "c"], change_type=False)
+    done = load_history(lake, "silver", "d", second.withColumn("c", F.col("c").cast("decimal(20,4)")), ["id"], D2,
+                        ["a", "b", "c"], change_type=False)
+    assert (done.inserted, done.updated, done.deleted) == (0, 2, 0)
+    operator = scd2_apply(first_versions(first, D1, change_type=False), second, ["id"], D2, ["a", "b", "c"])
+    assert rows(lake.read("silver", "d")) == rows(operator)
+    plain = load_history(lake, "silver", "d", first, ["id"], D3, ["a", "b", "c"], change_type=False, null_safe=False)
+    assert not plain.changed
