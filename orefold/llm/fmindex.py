@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orefold.llm import windows
-from orefold.llm.common import arrow_map, check_columns
+from orefold.llm.common import arrow_map, check_columns, whole_text
 
 GRAM = 5
 _PLACE = 21
@@ -224,12 +224,13 @@ def _cut(text: bytes, runs: list[tuple[int, int]]) -> list[bytes]:
     return [b" ".join(words[a: a + n]) for a, n in runs]
 
 
-def remove_repeats(docs: DataFrame, width: int = 13) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept_sha256, spans) of documents (doc_id, text).
+def remove_repeats(docs: DataFrame, width: int = 13, with_text: bool = False) -> DataFrame:
+    """(doc_id, n_words, n_removed, kept_sha256, spans, text_sha) of documents (doc_id, text).
 
     ``spans`` are the removed ranges of words, in order. Words are runs without ASCII white space. Null text
     has none; texts of fewer than ``width`` words lose nothing. Of copies the one with the smallest doc_id
     counts; rows of one doc_id do not remove from each other. A null doc_id is greater than all others.
+    ``with_text`` adds ``kept_text``: the words left, joined by blanks, or null where none was removed.
     """
     check_columns(docs, ["doc_id", "text"])
     if width < GRAM or width - GRAM + 1 > 1 << windows.COUNT_BITS:
@@ -267,7 +268,7 @@ def remove_repeats(docs: DataFrame, width: int = 13) -> DataFrame:
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             docs_, keys, texts, lists_ = (c.to_pylist() for c in batch.columns)
-            removed, spans, digests = [], [], []
+            removed, spans, digests, left = [], [], [], []
             for doc, text, marks in zip(docs_, texts, lists_):
                 words = text.encode("utf-8", "replace").split()
                 gone = windows.cover([(start + k, start + k + width) for m in marks
@@ -280,21 +281,39 @@ def remove_repeats(docs: DataFrame, width: int = 13) -> DataFrame:
                 kept += words[at:]
                 removed.append(len(words) - len(kept))
                 spans.append([{"start": a, "end": b} for a, b in gone])
-                digests.append(hashlib.sha256(b" ".join(kept)).hexdigest())
+                joined_words = b" ".join(kept)
+                digests.append(hashlib.sha256(joined_words).hexdigest())
+                left.append(joined_words.decode() if with_text and gone else None)
             kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(docs_, pa.int64()), pa.array(keys, pa.int64()), pa.array(removed, pa.int64()),
-                 pa.array(spans, kind), pa.array(digests, pa.string())], names=["doc", "key", "removed", "spans", "sha"])
+                 pa.array(spans, kind), pa.array(digests, pa.string()), pa.array(left, pa.string())],
+                names=["doc", "key", "removed", "spans", "sha", "left"])
 
     done = arrow_map(chosen.select("doc", "key", "text").join(lists, ["doc", "key"]).select("doc", "key", "text", "marks"), remove,
-                     "doc bigint, key bigint, removed bigint, spans array<struct<start:bigint,end:bigint>>, sha string")
+                     "doc bigint, key bigint, removed bigint, spans array<struct<start:bigint,end:bigint>>, sha string, left string")
     base = found.select("doc_id", windows.doc_or_last().alias("doc"), "key", "text_sha", "n_words", "words_sha")
     copies = base.groupBy("text_sha").agg(F.min("doc").alias("first"))
     joined = base.join(copies, "text_sha").join(done, ["doc", "key"], "left")
     whole = (F.col("doc") > F.col("first")) & (F.col("n_words") >= width)
     span = F.struct(F.lit(0).cast("bigint").alias("start"), F.col("n_words").alias("end"))
     empty = F.array().cast("array<struct<start:bigint,end:bigint>>")
+    text = [F.when(whole, F.lit("")).otherwise(F.col("left")).alias("kept_text")] if with_text else []
     return joined.select(
         "doc_id", "n_words", F.when(whole, F.col("n_words")).otherwise(F.coalesce("removed", F.lit(0))).alias("n_removed"),
         F.when(whole, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("sha", "words_sha")).alias("kept_sha256"),
-        F.when(whole, F.array(span)).otherwise(F.coalesce("spans", empty)).alias("spans"), "text_sha")
+        F.when(whole, F.array(span)).otherwise(F.coalesce("spans", empty)).alias("spans"), "text_sha", *text)
+
+
+def rewrite(docs: DataFrame, width: int = 13) -> DataFrame:
+    """``docs`` with the repeats cut out of ``text``, and ``n_chars``, if there is one, counted again. Texts without
+    repeats stay as they are; rows stay, even those with no words left."""
+    names = docs.columns
+    found = remove_repeats(docs, width, True).where("kept_text is not null").groupBy(
+        F.col("doc_id").alias("__doc"), F.col("text_sha").alias("__sha")).agg(F.any_value("kept_text").alias("__kept"))
+    marked = docs.withColumn("__sha_", F.sha2(whole_text(), 256))
+    joined = marked.join(found, F.col("doc_id").cast("bigint").eqNullSafe(F.col("__doc")) & (F.col("__sha_") == F.col("__sha")), "left")
+    new = {"text": F.coalesce("__kept", "text")}
+    if "n_chars" in names:
+        new["n_chars"] = F.when(F.col("__kept").isNull(), F.col("n_chars")).otherwise(F.length("__kept").cast("bigint"))
+    return joined.withColumns(new).select(*[F.col(f"`{c}`") for c in names])

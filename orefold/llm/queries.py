@@ -64,7 +64,7 @@ def op10_imatch_subsets(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_co_training, op3_fm_index_dedup,
-                                  op4_simhash_anchors,                                 op5_huffman_token_files, op6_suffix_array_dedup,
-                                  op7_sentencepiece_offsets, op8_decision_list,
+                                  op4_simhash_anchors, op5_huffman_token_files,
+                                  op6_suffix_array_dedup, op7_sentencepiece_offsets, op8_decision_list,
                                   op9_warc_derivatives, op10_imatch_subsets)}
 ORACLE: dict[str, str] = {}

@@ -31,8 +31,8 @@ def _without(text: Column, characters: str) -> Column:
     return F.translate(text, characters, "")
 
 
-def statistics(docs: DataFrame) -> DataFrame:
-    """doc_id and the text statistics of documents (doc_id, text), from whole texts.
+def statistics(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the columns ``keep`` (as ``__keep_<name>``), and the text statistics of documents (doc_id, text), from whole texts.
 
     n_words, word_chars (code points in words), n_symbols, n_lines (lines with a word), n_dup_lines (equal
     to an earlier one), n_repeat_words (words in windows of five that occur twice or more, compared by
@@ -40,15 +40,16 @@ def statistics(docs: DataFrame) -> DataFrame:
     """
     check_columns(docs, ["doc_id", "text"])
     text = whole_text()
+    kept = [f"__keep_{c}" for c in keep]
     base = docs.select(
-        F.col("doc_id").cast("bigint"), F.array_remove(F.split(text, SPACE), "").alias("words"),
+        *[F.col(f"`{c}`").alias(k) for c, k in zip(keep, kept)], F.col("doc_id").cast("bigint"), F.array_remove(F.split(text, SPACE), "").alias("words"),
         F.filter(F.split(text, "\n"), lambda line: F.length(_without(line, BLANKS)) > 0).alias("lines"),
         F.length(_without(text, BLANKS)).alias("word_chars"),
         (F.length(text) - F.length(_without(text, SYMBOLS))).alias("n_symbols"),
         (F.length(text) - F.length(_without(text, UPPER))).alias("n_upper"))
     n = F.size("words")
     hashed = base.select(
-        "doc_id", "word_chars", "n_symbols", "n_upper", n.alias("n_words"), F.size("lines").alias("n_lines"),
+        *[F.col(f"`{k}`") for k in kept], "doc_id", "word_chars", "n_symbols", "n_upper", n.alias("n_words"), F.size("lines").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).alias("n_dup_lines"),
         F.when(n >= WINDOW, F.transform(F.sequence(F.lit(1), n - (WINDOW - 1)),
                                         lambda k: F.xxhash64(F.slice("words", k, WINDOW))))
@@ -63,7 +64,7 @@ def statistics(docs: DataFrame) -> DataFrame:
         F.transform("places", lambda p, k: F.least(F.lit(WINDOW), F.coalesce(F.get("places", k + 1) - p, F.lit(WINDOW)))),
         F.lit(0), lambda total, x: total + x)
     counts = places.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)))
-    return counts.select("doc_id", *[F.col(c).cast("bigint") for c in [*BASE, "n_lines", "n_upper"]])
+    return counts.select(*[F.col(f"`{k}`") for k in kept], "doc_id", *[F.col(c).cast("bigint") for c in [*BASE, "n_lines", "n_upper"]])
 
 
 def base_failed() -> Column:
@@ -214,3 +215,12 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rules = learn(labelled_rows(stats, labels))
     return stats.withColumn("base_failed", base_failed()).withColumn("rule", rule_number(rules)).withColumn(
         "kept", ~F.col("base_failed") & (F.col("rule") == 0))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``docs`` without the rows that ``judge`` rejects, with all their columns. The statistics of the rows are
+    taken twice, to learn and to judge, rather than stored with the texts."""
+    learned = learn(labelled_rows(materialise(statistics(docs), "statistics"), labels))
+    names = docs.columns
+    stats = statistics(docs, tuple(names)).where(~base_failed() & (rule_number(learned) == 0))
+    return stats.select(*[F.col(f"`__keep_{c}`").alias(c) for c in names])

@@ -14,6 +14,7 @@ blocks; of the links there only a spanning forest is kept, which loses no compon
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +25,7 @@ from pyspark.sql import types as T
 
 from orefold.llm.common import arrow_map, check_columns, materialise, partitions, schema, whole_text
 from orefold.llm.components import components
+from orefold.llm.windows import mix
 
 ALIKE = schema(doc_id=T.LongType(), point=T.LongType())
 _BITS = 31
@@ -96,6 +98,9 @@ def anchors(halves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(found)
 
 
+# -- links of equal distance ------------------------------------------------------------------------
+
+
 def _at_anchors(points: DataFrame) -> DataFrame:
     def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -142,6 +147,22 @@ def spanning_links(points: np.ndarray, distance: int) -> list[tuple[int, int]]:
     return out
 
 
+def whole_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """Columns of batches sorted by the first, cut so that no value of it is spread over two."""
+    held: list[np.ndarray] = []
+    for batch in batches:
+        now = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        now = [np.concatenate(x) for x in zip(held, now)] if held else now
+        if not len(now[0]):
+            continue
+        cut = int(np.searchsorted(now[0], now[0][-1]))  # the last one may go on in the next batch
+        if cut:
+            yield [x[:cut] for x in now]
+        held = [x[cut:] for x in now]
+    if held and len(held[0]):
+        yield held
+
+
 def links(points: DataFrame, distance: int = 4) -> DataFrame:
     """Links (a, b) between distinct points that join exactly the points within ``distance`` of each other
     into components; at most 4 bits, as the anchors cover no more."""
@@ -150,8 +171,6 @@ def links(points: DataFrame, distance: int = 4) -> DataFrame:
     placed = _at_anchors(points).repartition(partitions(points.sparkSession), "anchor").sortWithinPartitions("anchor", "point")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_key, held = np.zeros(0, np.int64), np.zeros(0, np.int64)
-
         def settle(keys: np.ndarray, points_: np.ndarray) -> pa.RecordBatch:
             starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
             sizes = np.diff(np.append(starts, len(keys)))
@@ -166,17 +185,8 @@ def links(points: DataFrame, distance: int = 4) -> DataFrame:
             pairs = np.array(found, np.uint64).reshape(-1, 2).view(np.int64)
             return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"])
 
-        for batch in batches:
-            keys = np.concatenate([held_key, batch.column(0).to_numpy(zero_copy_only=False)])
-            values = np.concatenate([held, batch.column(1).to_numpy(zero_copy_only=False)])
-            if not len(keys):
-                continue
-            last = np.searchsorted(keys, keys[-1])  # the last anchor may go on in the next batch
-            if last:
-                yield settle(keys[:last], values[:last])
-            held_key, held = keys[last:], values[last:]
-        if len(held_key):
-            yield settle(held_key, held)
+        for keys, values in whole_keys(batches):
+            yield settle(keys, values)
 
     found = arrow_map(placed, compare, "a bigint, b bigint")
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -198,3 +208,125 @@ def near_duplicates(docs: DataFrame, width: int = 4, distance: int = 4) -> DataF
     # Only points with links need the smallest of others; the rest stand alone.
     result = marked.join(named.join(smallest, "root").select("point", "component_id"), "point")
     return result.select("doc_id", F.lower(F.lpad(F.hex("point"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+# -- texts of a given similarity --------------------------------------------------------------------
+
+#: Fingerprints of 64 bits that stand side by side for one text.
+LANES = 4
+
+
+def most_bits(similarity: float, lanes: int = LANES) -> int:
+    """Bits in which ``lanes`` fingerprints of texts with this Jaccard similarity of shingles differ at most.
+
+    Equal-sized sets of similarity s have the cosine 2s / (1 + s), and each bit differs with the angle's
+    share of pi; one standard error is added, so that most pairs at the limit are linked.
+    """
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    many = 64 * lanes
+    return int(share * many + math.sqrt(many * share * (1 - share)))
+
+
+def wide_fingerprint(text: str, width: int, lanes: int = LANES) -> np.ndarray:
+    import xxhash
+
+    found = words(text)
+    if not found:
+        return np.zeros(lanes, np.uint64)
+    many = max(1, len(found) - width + 1)
+    digest = xxhash.xxh64_intdigest
+    hashes = np.unique(np.fromiter((digest(b" ".join(found[k: k + width])) for k in range(many)), np.uint64, many))
+    total = np.zeros(64 * lanes, np.int64)
+    for at in range(0, len(hashes), 1 << 14):
+        part = hashes[at: at + (1 << 14)]
+        each = np.stack([mix(part + np.uint64(k)) for k in range(lanes)], 1).astype("<u8")
+        total += np.unpackbits(each.view(np.uint8).reshape(len(part), -1), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * total > len(hashes), bitorder="little").view("<u8")
+
+
+def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
+    """(doc_id, text_key, component_id) of documents (doc_id, text) whose shingles are about ``similarity`` alike.
+
+    Four fingerprints stand for each text, and each of their halves is copied to its anchors. Texts that
+    meet there and differ little in that fingerprint are candidates (a spanning forest of them), and those
+    within ``most_bits`` over all four are linked. Copies are one text. Null text: no words, as one text.
+    """
+    check_columns(docs, ["doc_id", "text"])
+    limit, near = most_bits(similarity), most_bits(similarity, 1) + 3
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = np.array([wide_fingerprint(t, width) for t in batch.column(2).to_pylist()], np.uint64).reshape(-1, LANES)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), *[pa.array(found[:, k].view(np.int64)) for k in range(LANES)]],
+                names=["doc_id", "text_key", *[f"f{k}" for k in range(LANES)]])
+
+    lanes = ", ".join(f"f{k} bigint" for k in range(LANES))
+    rows = docs.select(F.col("doc_id").cast("bigint"), F.sha2(whole_text(), 256).alias("text_key"), whole_text().alias("text"))
+    marked = materialise(arrow_map(rows, look, f"doc_id bigint, text_key string, {lanes}"), "wide-fingerprints")
+    # Texts are known by a number: the one of their smallest document, made unique by their key.
+    texts = marked.groupBy("text_key").agg(F.min("doc_id").alias("first"), *[F.any_value(f"f{k}").alias(f"f{k}") for k in range(LANES)])
+    texts = materialise(texts.withColumn("id", F.xxhash64("text_key")), "texts")
+
+    def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for first in range(0, whole.num_rows, 10_000):
+                columns = [c.slice(first, 10_000).to_numpy(zero_copy_only=False) for c in whole.columns]
+                for lane in range(LANES):
+                    point = columns[1 + lane].view(np.uint64)
+                    for half in (0, 1):
+                        part = ((point >> np.uint64(32 * half)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+                        index, anchor = anchors(part)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(anchor.astype(np.int64) | ((2 * lane + half) << 32)), pa.array(columns[0][index]),
+                             pa.array(point[index].view(np.int64))], names=["anchor", "id", "point"])
+
+    placed = arrow_map(texts.select("id", *[f"f{k}" for k in range(LANES)]), copy, "anchor bigint, id bigint, point bigint")
+    placed = placed.repartition(partitions(docs.sparkSession), "anchor").sortWithinPartitions("anchor", "point", "id")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, ids, points in whole_keys(batches):
+            starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            sizes = np.diff(np.append(starts, len(keys)))
+            values = points.view(np.uint64)
+            found: list[tuple[int, int]] = []
+            two = starts[sizes == 2]
+            take = two[np.bitwise_count(values[two] ^ values[two + 1]) <= near]
+            found.extend(zip(ids[take].tolist(), ids[take + 1].tolist()))
+            for start, size in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist()):
+                own = values[start: start + size]
+                first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+                number = ids[start: start + size]
+                same = np.repeat(number[first], np.diff(np.append(first, size)))
+                found.extend((a, b) for a, b in zip(same.tolist(), number.tolist()) if a != b)
+                known = dict(zip(own[first].tolist(), number[first].tolist()))
+                found.extend((known[a], known[b]) for a, b in spanning_links(own[first], near))
+            pairs = np.array(found, np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs.min(1, initial=1 << 62)), pa.array(pairs.max(1, initial=-(1 << 62)))], names=["a", "b"])
+
+    pairs = arrow_map(placed, compare, "a bigint, b bigint").distinct()
+    side = lambda name: texts.select(F.col("id").alias(name), *[F.col(f"f{k}").alias(f"{name}{k}") for k in range(LANES)])
+    differ = sum((F.bit_count(F.col(f"a{k}").bitwiseXOR(F.col(f"b{k}"))) for k in range(LANES)), F.lit(0))
+    linked = pairs.join(side("a"), "a").join(side("b"), "b").where(differ <= limit).select("a", "b")
+    joined = components(linked)
+    named = texts.select("id", "text_key", "first").join(joined.withColumnRenamed("node", "id"), "id", "left").select(
+        "text_key", "first", F.coalesce("root", "id").alias("root"))
+    smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
+    return marked.select("doc_id", "text_key").join(named.join(smallest, "root").select("text_key", "component_id"), "text_key")
+
+
+def keep_one(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
+    """``docs`` with one document of each group of similar texts: the one with the smallest doc_id.
+
+    A row with a null doc_id stays only if its group has no other; of repeated rows one stays.
+    """
+    names = docs.columns
+    groups = materialise(similar_groups(docs, width, similarity), "groups")
+    gone = groups.where(~F.coalesce("doc_id", F.lit(-1)).eqNullSafe(F.coalesce("component_id", F.lit(-1)))).select(
+        F.col("doc_id").alias("__doc"), F.col("text_key").alias("__key")).distinct()
+    rows = docs.withColumn("__own", F.sha2(whole_text(), 256))
+    rows = rows.join(gone, F.col("doc_id").cast("bigint").eqNullSafe(F.col("__doc")) & (F.col("__own") == F.col("__key")), "left_anti")
+    repeated = groups.groupBy("component_id").agg(F.count_if(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("n")).where("n > 1")
+    if not repeated.isEmpty():
+        rows = rows.dropDuplicates(["doc_id"])
+    return rows.select(*[F.col(f"`{c}`") for c in names])
