@@ -3,8 +3,8 @@
 Two logistic models see different things: one the words of a text, the other its metadata and layout
 (source, language, lengths, shares of kinds of characters). In each round either labels the pool rows of
 which it is most certain for the other to learn from. Both are calibrated on labelled rows that neither
-learned from, the calibrated log-odds are added, and the sum is calibrated once more. All documents are
-then scored where they are, without a shuffle.
+learned from, and the calibrated log-odds are weighed together on them. All documents are then scored
+where they are, without a shuffle.
 
 The models are fitted on bounded samples (LABELLED and POOL rows, those with the smallest hash of doc_id);
 everything else covers all rows.
@@ -138,21 +138,31 @@ def fit(rows: Rows, labels: np.ndarray, dims: int, least_rows: int, penalty: flo
     return np.append(weights, bias)
 
 
-def calibrate(z: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
-    """Slope (not negative) and intercept that make ``z`` log-odds, by Newton steps with smoothed targets."""
+def calibrate(z: np.ndarray, labels: np.ndarray) -> tuple[float, ...]:
+    """Slopes (not negative) of the columns of ``z`` and an intercept that turn them into log-odds, by damped
+    Newton steps with smoothed targets."""
+    z = z.reshape(len(labels), -1)
     good = labels.sum()
     target = np.where(labels > 0, (good + 1) / (good + 2), 1 / (len(labels) - good + 2))
-    a, b = 1.0, 0.0
-    for _ in range(50):
-        p = _sigmoid(a * z + b)
-        g = np.array([((p - target) * z).sum() + 1e-3 * a, (p - target).sum()])
-        v = p * (1 - p) + 1e-9
-        h = np.array([[(v * z * z).sum() + 1e-3, (v * z).sum()], [(v * z).sum(), v.sum() + 1e-6]])
-        step = np.linalg.solve(h, g)
-        a, b = a - step[0], b - step[1]
-        if abs(step).max() < 1e-9:
+    scale = np.where(z.std(axis=0) > 0, z.std(axis=0), 1.0)
+    x = np.column_stack([z / scale, np.ones(len(z))])
+
+    def loss(w: np.ndarray) -> float:
+        m = x @ w
+        return float((np.logaddexp(0, m) - target * m).sum() + 0.01 * (w * w).sum())
+
+    w = np.append(np.ones(z.shape[1]), 0.0)
+    for _ in range(100):
+        p = _sigmoid(x @ w)
+        gradient = x.T @ (p - target) + 0.02 * w
+        curve = (x * (p * (1 - p))[:, None]).T @ x + 0.02 * np.eye(len(w))
+        step, size = np.linalg.solve(curve, gradient), 1.0
+        while size > 1e-6 and loss(w - size * step) > loss(w):  # a full step can overshoot
+            size /= 2
+        w = w - size * step
+        if abs(size * step).max() < 1e-9:
             break
-    return max(float(a), 0.0), float(b)
+    return (*np.maximum(w[:-1] / scale, 0.0).tolist(), float(w[-1]))
 
 
 @dataclass
@@ -161,14 +171,14 @@ class Model:
 
     content: np.ndarray
     metadata: np.ndarray
-    scale: tuple[tuple[float, float], tuple[float, float], tuple[float, float]] = ((1, 0), (1, 0), (1, 0))
+    scale: tuple[tuple[float, ...], ...] = ((1, 0), (1, 0), (1, 1, 0))
     rounds: list[int] = field(default_factory=list)
 
     def combine(self, z_content, z_metadata):
         """Chances by content, by metadata, and by both."""
-        (a, b), (c, d), (e, f) = self.scale
+        (a, b), (c, d), (e, f, g) = self.scale
         x, y = a * z_content + b, c * z_metadata + d
-        return _sigmoid(x), _sigmoid(y), _sigmoid(e * (x + y) + f)
+        return _sigmoid(x), _sigmoid(y), _sigmoid(e * x + f * y + g)
 
 
 def co_train(content_rows: Rows, metadata_rows: Rows, labels: np.ndarray, rounds: int = 3, share: float = 0.08) -> Model:
@@ -209,7 +219,7 @@ def co_train(content_rows: Rows, metadata_rows: Rows, labels: np.ndarray, rounds
     z = [rows.take(held).dot(model[:-1]) + model[-1] for (rows, _, _), model in zip(views, models)]
     truth = labels[held].astype(np.float64)
     one, two = calibrate(z[0], truth), calibrate(z[1], truth)
-    both = calibrate(one[0] * z[0] + one[1] + two[0] * z[1] + two[1], truth)
+    both = calibrate(np.column_stack([one[0] * z[0] + one[1], two[0] * z[1] + two[1]]), truth)
     return Model(models[0].astype(np.float32), models[1].astype(np.float32), (one, two, both), added)
 
 

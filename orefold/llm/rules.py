@@ -222,5 +222,8 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     taken twice, to learn and to judge, rather than stored with the texts."""
     learned = learn(labelled_rows(materialise(statistics(docs), "statistics"), labels))
     names = docs.columns
-    stats = statistics(docs, tuple(names)).where(~base_failed() & (rule_number(learned) == 0))
+    # The row number keeps the condition above the statistics: pushed below, it would repeat them inside
+    # their own loops.
+    stats = statistics(docs, tuple(names)).withColumn("__row", F.monotonically_increasing_id())
+    stats = stats.where((F.col("__row") >= 0) & ~base_failed() & (rule_number(learned) == 0))
     return stats.select(*[F.col(f"`__keep_{c}`").alias(c) for c in names])

@@ -302,7 +302,7 @@ def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8) ->
                 known = dict(zip(own[first].tolist(), number[first].tolist()))
                 found.extend((known[a], known[b]) for a, b in spanning_links(own[first], near))
             pairs = np.array(found, np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs.min(1, initial=1 << 62)), pa.array(pairs.max(1, initial=-(1 << 62)))], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(pairs.min(1)), pa.array(pairs.max(1))], names=["a", "b"])
 
     pairs = arrow_map(placed, compare, "a bigint, b bigint").distinct()
     side = lambda name: texts.select(F.col("id").alias(name), *[F.col(f"f{k}").alias(f"{name}{k}") for k in range(LANES)])
