@@ -9,11 +9,14 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 
 import numpy as np
 
 #: Words remembered in each Python worker (about 200 bytes each).
-REMEMBERED = 400_000
+REMEMBERED = 700_000
+#: Packs few ids at less cost than an array does.
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(16)]
 #: Letters of the first 256 code points, then ASCII marks other than the apostrophe: two words to both
 #: vocabularies, whose letters need no normalisation but lower case. Anything else goes to the library.
 _PLAIN = re.compile(r"([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-&(-/:-@\[-`{-~]*)")
@@ -41,7 +44,8 @@ class WordIds(dict):
         """Ids of one word, given as it leaves the normaliser."""
         if not letters.isascii() or " " in letters:
             letters = letters.encode().decode("latin-1").translate(self.visible)
-        return np.array([t.id for t in self.merge(letters)], "<u4").tobytes()
+        ids = [t.id for t in self.merge(letters)]
+        return _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else np.array(ids, "<u4").tobytes()
 
     def plain(self, word: str, before: str) -> bytes:
         """Ids of ``before + word``; letters and marks are merged apart."""
