@@ -115,43 +115,21 @@ def survey(docs: DataFrame, width: int, gram: int, hashes: Callable, about: Call
 
 
 def candidates(docs: DataFrame, found: DataFrame, within: bool, purpose: str) -> DataFrame:
-    """Stored (doc_id, key, text, stretches) of the texts with a stretch whose anchor gram repeats.
+    """Stored (doc, key, text, stretches) of the texts with a stretch whose anchor gram repeats.
 
-    ``within``: a repeat in the same text counts. Anchors are dealt out by hash and read in order; each
-    text counts once, as its document with the smallest doc_id (null is last).
+    ``within``: a repeat in the same text counts. Whether an anchor repeats is added up before the shuffle
+    (its least and greatest text or place differ), and the answer has one row for each anchor, so the
+    join can split the rows of a hot one. Each text counts once, as its document with the smallest
+    doc_id (null is last).
     """
     rows = found.select(F.explode(F.arrays_zip("anchors", "places")).alias("x"), "key", doc_or_last().alias("doc"))
-    rows = rows.select("x.anchors", "key", "doc", "x.places")
-    dealt = rows.repartition(partitions(docs.sparkSession), "anchors").sortWithinPartitions("anchors", "key", "places", "doc")
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = [np.zeros(0, np.int64)] * 4
-
-        def settle(anchor, key, doc, place) -> pa.RecordBatch:
-            # Of equal texts the first row of each place; then anchors with two of them, or of two texts.
-            change = lambda x: np.concatenate([[True], x[1:] != x[:-1]])
-            new_text = change(anchor) | change(key)
-            new = new_text | change(place)
-            anchor, key, doc, place, new_text = anchor[new], key[new], doc[new], place[new], new_text[new]
-            group = np.cumsum(change(anchor)) - 1
-            many = np.bincount(group, weights=None if within else new_text)
-            take = many[group] > 1
-            return pa.RecordBatch.from_arrays([pa.array(x[take]) for x in (anchor, key, doc, place)],
-                                              names=["anchor", "key", "doc", "place"])
-
-        for batch in batches:
-            now = [np.concatenate([h, c.to_numpy(zero_copy_only=False)]) for h, c in zip(held, batch.columns)]
-            if not len(now[0]):
-                continue
-            cut = int(np.searchsorted(now[0], now[0][-1]))
-            if cut:
-                yield settle(*[x[:cut] for x in now])
-            held = [x[cut:] for x in now]
-        if len(held[0]):
-            yield settle(*held)
-
-    kept = arrow_map(dealt, keep, "anchor bigint, key bigint, doc bigint, place bigint")
-    lists = kept.groupBy("doc", "key").agg(F.collect_list(F.struct("anchor", "place")).alias("stretches"))
+    rows = rows.select(F.col("x.anchors").alias("anchor"), "key", "doc", F.col("x.places").alias("place"))
+    spot = F.struct("key", "place") if within else F.col("key")
+    repeated = rows.groupBy("anchor").agg(F.min(spot).alias("low"), F.max(spot).alias("high")).where("low <> high").select("anchor")
+    first = found.groupBy("key").agg(F.min(doc_or_last()).alias("doc"))
+    kept = rows.join(repeated, "anchor")
+    lists = kept.groupBy("doc", "key").agg(F.collect_list(F.struct("anchor", "place")).alias("stretches")).join(
+        first, ["doc", "key"], "left_semi")
     texts = _keyed(docs).drop("text_sha").withColumn("doc", doc_or_last())
     # Repeated rows have one doc and key; one of them stands for all.
     joined = texts.join(lists, ["doc", "key"]).groupBy("doc", "key").agg(
