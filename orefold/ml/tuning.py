@@ -30,7 +30,7 @@ TRIAL_SCHEMA = "number int, state string, value double, params string, error str
 class Space:
     """Search ranges; ``log`` ranges are drawn evenly on a logarithmic scale."""
 
-    depth: tuple[int, int] = (3, 40)
+    depth: tuple[int, int] = (3, MAX_DEPTH)
     leaf_share: tuple[float, float] = (1e-6, 1e-3)
     min_gain: tuple[float, float] | None = None
     feature_choices: tuple[str, ...] = ()
@@ -40,7 +40,7 @@ class Space:
             return math.exp(rng.uniform(math.log(low), math.log(high)))
 
         out: dict[str, object] = {
-            "maxDepth": min(MAX_DEPTH, round(log_even(*self.depth))),
+            "maxDepth": round(log_even(*self.depth)),
             "minWeightFractionPerNode": log_even(*self.leaf_share),
         }
         if self.min_gain:
@@ -128,7 +128,7 @@ def search(
                                 evaluator=evaluator, numFolds=folds, foldCol="fold")
             return Trial(number, params, float(cv.fit(prepared).avgMetrics[0]))
         except Exception as error:  # a trial may fail for any reason; the study goes on
-            return Trial(number, params, None, str(error)[:500])
+            return Trial(number, params, None, str(error))
 
     try:
         with ThreadPoolExecutor(max_workers=parallel) as pool:

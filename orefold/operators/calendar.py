@@ -65,9 +65,11 @@ def calendar_attributes(days: DataFrame, day: str = "day", edition: str = "wide"
     return days.select(*[value.alias(name) for name, value in columns.items()])
 
 
-def calendar_dimension(spark: SparkSession, load_date: dt.datetime | str, edition: str = "wide") -> DataFrame:
-    """The full calendar table of an edition with its load time columns."""
-    first, last = WIDE_RANGE if edition == "wide" else COURSE_RANGE
+def calendar_dimension(spark: SparkSession, load_date: dt.datetime | str, edition: str = "wide",
+                       first: dt.date | None = None, last: dt.date | None = None) -> DataFrame:
+    """The calendar table of an edition with its load time columns; ``first`` and ``last`` widen its range."""
+    least, greatest = WIDE_RANGE if edition == "wide" else COURSE_RANGE
+    first, last = min(first or least, least), max(last or greatest, greatest)
     now = F.lit(str(load_date)).cast("timestamp")
     days = date_range(spark, first, last)
     return calendar_attributes(days, edition=edition).withColumns({"_tf_create_date": now, "_tf_update_date": now})

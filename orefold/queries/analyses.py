@@ -10,13 +10,13 @@ QUERIES = {
     "fact_stats": lambda spark, folder: marts.fact_stats(fact(spark, folder)),
     "fact_final_stats": lambda spark, folder: marts.fact_final_stats(fact(spark, folder)),
     "top10_customers": lambda spark, folder: marts.top_customers(star(spark, folder)),
-    "top10_products": lambda spark, folder: marts.top_products(star(spark, folder, with_orders=False)),
-    "sales_by_category": lambda spark, folder: marts.sales_by_category(star(spark, folder, with_orders=False)),
+    "top10_products": lambda spark, folder: marts.top_products(star(spark, folder)),
+    "sales_by_category": lambda spark, folder: marts.sales_by_category(star(spark, folder)),
     "sales_by_month": lambda spark, folder: marts.sales_by_month(star(spark, folder)),
     "sales_by_geography": lambda spark, folder: marts.sales_by_geography(star(spark, folder)),
-    "discount_bands": lambda spark, folder: marts.discount_analysis(fact(spark, folder, with_orders=False)),
+    "discount_bands": lambda spark, folder: marts.discount_analysis(fact(spark, folder)),
     "sales_by_price_range": lambda spark, folder: marts.sales_by_price_range(
-        star(spark, folder, with_orders=False, described=False)),
+        star(spark, folder)),
     "v_sales_monthly": lambda spark, folder: marts.monthly_view(star(spark, folder)),
     "v_sales_by_category": lambda spark, folder: marts.category_view(star(spark, folder)),
     "v_customer_performance": lambda spark, folder: marts.customer_view(star(spark, folder)),

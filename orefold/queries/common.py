@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orefold.operators.calendar import WIDE_RANGE, calendar_attributes, date_range
+from orefold.operators.calendar import calendar_attributes, explode_days
 from orefold.operators.scd2 import first_versions, open_rows, scd2_apply
 from orefold.operators.star import fact_amounts
 from orefold.plans import dims
@@ -74,35 +74,35 @@ def categories(spark, folder) -> DataFrame:
     return _dimension(rows, "prod_cat_id", "_tf_dim_product_category_sk")
 
 
-def products(spark, folder, described: bool = True) -> DataFrame:
-    """Product dimension; ``described=False`` leaves category and model texts at their defaults."""
+def products(spark, folder) -> DataFrame:
     tree, models = categories(spark, folder), renamed(spark, folder, "productmodel")
-    if not described:
-        tree, models = (spark.createDataFrame([], df.schema) for df in (tree, models))
     rows = dims.product_attributes(renamed(spark, folder, "product"), tree, models, AS_OF)
     return _dimension(rows, "prod_product_id", "_tf_dim_product_sk")
 
 
-def calendar(spark) -> DataFrame:
-    return calendar_attributes(date_range(utc(spark), *WIDE_RANGE))
+def calendar(spark, folder) -> DataFrame:
+    """All days of the years in which orders were placed."""
+    dates = utc(spark).read.parquet(f"{folder}/orders.parquet").agg(
+        F.trunc(F.min("o_orderdate"), "year").alias("first"),
+        F.date_sub(F.add_months(F.trunc(F.max("o_orderdate"), "year"), 12), 1).alias("last"))
+    return calendar_attributes(explode_days(dates, "first", "last"))
 
 
-def fact(spark, folder, with_orders: bool = True) -> DataFrame:
-    """The sales fact; a row counts as created on its order date. Queries over lines only skip the orders."""
+def fact(spark, folder) -> DataFrame:
+    """The sales fact; a row counts as created on its order date."""
     lines = renamed(spark, folder, "sales_order_detail")
     columns = ["sales_order_id", "sales_order_detail_id"]
     keys = [(F.col("product_id") + 1).alias("_tf_dim_product_sk")]
-    if with_orders:
-        header = renamed(spark, folder, "sales_order_header").select(
-            "sales_order_id", "order_date", "customer_id", "bill_to_address_id"
-        )
-        lines = lines.join(header, "sales_order_id", "left")
-        keys += [
-            date_key("order_date").alias("_tf_dim_calendar_sk"),
-            (F.col("customer_id") + 1).alias("_tf_dim_customer_sk"),
-            (F.col("bill_to_address_id") + 1).alias("_tf_dim_geography_sk"),
-            F.col("order_date").alias("_tf_create_date"),
-        ]
+    header = renamed(spark, folder, "sales_order_header").select(
+        "sales_order_id", "order_date", "customer_id", "bill_to_address_id"
+    )
+    lines = lines.join(header, "sales_order_id", "left")
+    keys += [
+        date_key("order_date").alias("_tf_dim_calendar_sk"),
+        (F.col("customer_id") + 1).alias("_tf_dim_customer_sk"),
+        (F.col("bill_to_address_id") + 1).alias("_tf_dim_geography_sk"),
+        F.col("order_date").alias("_tf_create_date"),
+    ]
     measures = [safe_measure(c, kind).alias(name) for name, (c, kind) in MEASURES.items()]
     return fact_amounts(lines.select(*columns, *keys, *measures))
 
@@ -110,19 +110,18 @@ def fact(spark, folder, with_orders: bool = True) -> DataFrame:
 class SampleStar:
     """The star of the last snapshot; a table is only put together when a query asks for it."""
 
-    def __init__(self, spark: SparkSession, folder: str, with_orders: bool = True, described: bool = True):
+    def __init__(self, spark: SparkSession, folder: str):
         self._spark, self._folder = spark, folder
-        self._with_orders, self._described = with_orders, described
 
-    fact = property(lambda self: fact(self._spark, self._folder, self._with_orders))
+    fact = property(lambda self: fact(self._spark, self._folder))
     customer = property(lambda self: customers(self._spark, self._folder))
     geography = property(lambda self: places(self._spark, self._folder))
-    product = property(lambda self: products(self._spark, self._folder, self._described))
+    product = property(lambda self: products(self._spark, self._folder))
     category = property(lambda self: categories(self._spark, self._folder))
-    calendar = property(lambda self: calendar(self._spark))
+    calendar = property(lambda self: calendar(self._spark, self._folder))
 
     known = Star.known
 
 
-def star(spark: SparkSession, folder: str, with_orders: bool = True, described: bool = True) -> SampleStar:
-    return SampleStar(spark, folder, with_orders, described)
+def star(spark: SparkSession, folder: str) -> SampleStar:
+    return SampleStar(spark, folder)

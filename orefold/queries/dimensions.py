@@ -107,7 +107,7 @@ def masked(spark, folder):
 def staged(spark, folder, snapshot: int):
     """Fact staging of a snapshot against gold dimensions that lack members (see the SQL)."""
     known_customers = customers(spark, folder).filter("cust_company_name <> 'MACHINERY'")
-    known_products = products(spark, folder, described=False).filter("prod_price_range <> 'Ultra-Luxury (3000+)'")
+    known_products = products(spark, folder).filter("prod_price_range <> 'Ultra-Luxury (3000+)'")
     return facts.stage_sales(
         renamed(spark, folder, "sales_order_detail", snapshot), renamed(spark, folder, "sales_order_header", snapshot),
         renamed(spark, folder, "customer", snapshot), renamed(spark, folder, "address", snapshot),
@@ -127,7 +127,7 @@ def fact_upsert(spark, folder):
 
 
 def fact_amounts(spark, folder):
-    return fact(spark, folder, with_orders=False).select(
+    return fact(spark, folder).select(
         "sales_order_id", "sales_order_detail_id", "sales_discount_amount", "sales_net_amount")
 
 

@@ -302,7 +302,10 @@ dim_product AS (SELECT *, prod_product_id + 1 AS product_sk
 dim_calendar AS (SELECT CAST(10000 * year(d) + 100 * month(d) + day(d) AS INTEGER) AS calendar_sk, d AS cal_date,
     CAST(year(d) AS INTEGER) AS cal_year, CAST(month(d) AS INTEGER) AS cal_month,
     strftime(d, '%B') AS cal_month_name, CAST(quarter(d) AS INTEGER) AS cal_quarter
-  FROM (SELECT CAST(g AS DATE) AS d FROM generate_series(TIMESTAMP '2000-01-01', TIMESTAMP '2030-12-31', INTERVAL 1 DAY) t(g))),
+  FROM (SELECT CAST(g AS DATE) AS d FROM generate_series(
+    (SELECT date_trunc('year', CAST(min(o_orderdate) AS TIMESTAMP)) FROM orders),
+    (SELECT date_trunc('year', CAST(max(o_orderdate) AS TIMESTAMP)) + INTERVAL 1 YEAR - INTERVAL 1 DAY FROM orders),
+    INTERVAL 1 DAY) t(g))),
 fact AS (SELECT d.sales_order_id, d.sales_order_detail_id, d.product_id + 1 AS product_sk,
     CAST(10000 * year(h.order_date) + 100 * month(h.order_date) + day(h.order_date) AS INTEGER) AS calendar_sk,
     h.customer_id + 1 AS customer_sk, h.bill_to_address_id + 1 AS geography_sk,

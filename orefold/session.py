@@ -16,6 +16,9 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Many small partitions to begin with, which adaptive execution puts together; a large shuffle stays
+    # within executor memory. Sessions for small data set fewer.
+    "spark.sql.shuffle.partitions": "2000",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
     "spark.sql.files.maxPartitionBytes": str(256 << 20),
@@ -39,10 +42,13 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for intermediate tables, below the shared folder named by the session.
 
     Every executor must be able to read it back, so ``spark.checkpoint.dir`` decides where it is.
-    Only when that setting is absent, as in tests on one machine, a temporary folder stands in.
+    Only when that setting is absent on a single machine, as in tests, a temporary folder stands in; on a
+    cluster its absence is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = os.path.join(tempfile.gettempdir(), f"orefold-{os.getuid()}")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
@@ -53,6 +59,16 @@ def file_system(spark: SparkSession, path: str):
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
+def create_file(spark: SparkSession, path: str, content: str) -> None:
+    """Writes a small file; fails if there is one of that name."""
+    fs, target = file_system(spark, path)
+    stream = fs.create(target, False)
+    try:
+        stream.write(bytearray(content.encode()))
+    finally:
+        stream.close()
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, target = file_system(spark, path)
     return fs.exists(target)
