@@ -16,6 +16,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -92,12 +93,13 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def survey(docs: DataFrame, width: int, gram: int, hashes: Callable, about: Callable, columns: str, purpose: str) -> DataFrame:
-    """One stored row per document: doc_id, key (of its text), text_sha, the operator's own ``columns`` from
+    """One stored row per document: row (its number, in order of storage), doc_id, key (of its text), text_sha, the operator's own ``columns`` from
     ``about(texts)``, and its stretches as arrays ``anchors`` and ``places``.
 
     ``hashes(texts, gram)`` gives gram hashes of the texts laid end to end, and the texts' starts.
     """
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 36
         for whole in batches:
             for batch in batches_of(whole):
                 texts = [t.encode("utf-8", "replace") for t in batch.column(3).to_pylist()]
@@ -107,10 +109,12 @@ def survey(docs: DataFrame, width: int, gram: int, hashes: Callable, about: Call
                 place = (first << COUNT_BITS) | (many - 1)
                 lists = [pa.ListArray.from_arrays(ends, pa.array(x, pa.int64())) for x in (anchor, place)]
                 names, values = about(texts)
-                yield pa.RecordBatch.from_arrays([*batch.columns[:3], *values, *lists],
-                                                 names=["doc_id", "text_sha", "key", *names, "anchors", "places"])
+                number = pa.array(np.arange(row, row + len(texts)))
+                row += len(texts)
+                yield pa.RecordBatch.from_arrays([number, *batch.columns[:3], *values, *lists],
+                                                 names=["row", "doc_id", "text_sha", "key", *names, "anchors", "places"])
 
-    result = f"doc_id bigint, text_sha string, key bigint, {columns}, anchors array<bigint>, places array<bigint>"
+    result = f"row bigint, doc_id bigint, text_sha string, key bigint, {columns}, anchors array<bigint>, places array<bigint>"
     return materialise(arrow_map(_keyed(docs), look, result), purpose)
 
 
@@ -122,14 +126,14 @@ def candidates(docs: DataFrame, found: DataFrame, within: bool, purpose: str) ->
     join can split the rows of a hot one. Each text counts once, as its document with the smallest
     doc_id (null is last).
     """
-    rows = found.select(F.explode(F.arrays_zip("anchors", "places")).alias("x"), "key", doc_or_last().alias("doc"))
-    rows = rows.select(F.col("x.anchors").alias("anchor"), "key", "doc", F.col("x.places").alias("place"))
-    spot = F.struct("key", "place") if within else F.col("key")
+    rows = found.select(F.explode(F.arrays_zip("anchors", "places")).alias("x"), "row")
+    rows = rows.select(F.col("x.anchors").alias("anchor"), "row", F.col("x.places").alias("place"))
+    # Row numbers are small and near each other, so these shuffles carry little but the anchors.
+    spot = F.struct("row", "place") if within else F.col("row")
     repeated = rows.groupBy("anchor").agg(F.min(spot).alias("low"), F.max(spot).alias("high")).where("low <> high").select("anchor")
-    first = found.groupBy("key").agg(F.min(doc_or_last()).alias("doc"))
-    kept = rows.join(repeated, "anchor")
-    lists = kept.groupBy("doc", "key").agg(F.collect_list(F.struct("anchor", "place")).alias("stretches")).join(
-        first, ["doc", "key"], "left_semi")
+    first = found.groupBy("text_sha").agg(F.min(F.struct(doc_or_last().alias("doc"), "row", "key")).alias("x")).select("x.*")
+    lists = rows.join(repeated, "anchor").groupBy("row").agg(F.collect_list(F.struct("anchor", "place")).alias("stretches"))
+    lists = lists.join(first, "row").drop("row")
     texts = _keyed(docs).drop("text_sha").withColumn("doc", doc_or_last())
     # Repeated rows have one doc and key; one of them stands for all.
     joined = texts.join(lists, ["doc", "key"]).groupBy("doc", "key").agg(
