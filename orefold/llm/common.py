@@ -34,10 +34,18 @@ def whole_text(column: str = "text") -> Column:
 def materialise(df: DataFrame, purpose: str) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it back: it is computed once and outlives executors."""
     path = work_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
+    free_shuffles(df.sparkSession)
+    df.write.option("compression", "zstd").parquet(path)
+    free_shuffles(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished jobs: that follows the driver's garbage collection, which may
+    come late by itself. Results in written tables do not need them any more."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

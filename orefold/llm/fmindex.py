@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orefold.llm import windows
-from orefold.llm.common import arrow_map, check_columns, whole_text
+from orefold.llm.common import arrow_map, check_columns, free_shuffles, materialise, whole_text
 
 GRAM = 5
 _PLACE = 21
@@ -236,8 +236,8 @@ def remove_repeats(docs: DataFrame, width: int = 13, with_text: bool = False) ->
     if width < GRAM or width - GRAM + 1 > 1 << windows.COUNT_BITS:
         raise ValueError(f"width must be within {GRAM}..{(1 << windows.COUNT_BITS) + GRAM - 1}")
     found = windows.survey(docs, width, GRAM, word_grams, _about, "n_words bigint, words_sha string", "word-survey")
-    chosen = windows.candidates(docs, found, False, "word-candidates")
-    rows = windows.contents(chosen, width, _cut, "word-stretches")
+    chosen = windows.candidates(found, False, "word-candidates")
+    rows = windows.contents(docs, chosen, width, _cut, "word-stretches")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held in windows.shards(batches, 6 * SHARD):
@@ -261,7 +261,8 @@ def remove_repeats(docs: DataFrame, width: int = 13, with_text: bool = False) ->
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * 3, kinds)],
                                              names=["anchor", "digest", "least"])
 
-    marked = arrow_map(windows.distinct_contents(rows), search, "anchor bigint, digest binary, least array<bigint>")
+    marked = materialise(arrow_map(windows.distinct_contents(rows), search,
+                                   "anchor bigint, digest binary, least array<bigint>"), "word-marks")
     spots = rows.select("anchor", "digest", "doc", "key", "place").join(marked, ["anchor", "digest"])
     lists = spots.groupBy("doc", "key").agg(F.collect_list(F.struct("place", "least")).alias("marks"))
 
@@ -290,7 +291,7 @@ def remove_repeats(docs: DataFrame, width: int = 13, with_text: bool = False) ->
                  pa.array(spans, kind), pa.array(digests, pa.string()), pa.array(left, pa.string())],
                 names=["doc", "key", "removed", "spans", "sha", "left"])
 
-    done = arrow_map(chosen.select("doc", "key", "text").join(lists, ["doc", "key"]).select("doc", "key", "text", "marks"), remove,
+    done = arrow_map(windows.with_texts(docs, lists, "marks"), remove,
                      "doc bigint, key bigint, removed bigint, spans array<struct<start:bigint,end:bigint>>, sha string, left string")
     base = found.select("doc_id", windows.doc_or_last().alias("doc"), "key", "text_sha", "n_words", "words_sha")
     copies = base.groupBy("text_sha").agg(F.min("doc").alias("first"))
@@ -299,6 +300,7 @@ def remove_repeats(docs: DataFrame, width: int = 13, with_text: bool = False) ->
     span = F.struct(F.lit(0).cast("bigint").alias("start"), F.col("n_words").alias("end"))
     empty = F.array().cast("array<struct<start:bigint,end:bigint>>")
     text = [F.when(whole, F.lit("")).otherwise(F.col("left")).alias("kept_text")] if with_text else []
+    free_shuffles(docs.sparkSession)
     return joined.select(
         "doc_id", "n_words", F.when(whole, F.col("n_words")).otherwise(F.coalesce("removed", F.lit(0))).alias("n_removed"),
         F.when(whole, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("sha", "words_sha")).alias("kept_sha256"),

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orefold.llm import windows
-from orefold.llm.common import arrow_map, check_columns
+from orefold.llm.common import arrow_map, check_columns, free_shuffles, materialise
 
 GRAM = 64
 #: Bits of a place in a suffix array, and bytes of stretches that one array takes.
@@ -245,12 +245,12 @@ def remove_repeats(docs: DataFrame, width: int = 400) -> DataFrame:
     if width < 2 * GRAM or width - GRAM + 1 > 1 << windows.COUNT_BITS:
         raise ValueError(f"width must be within {2 * GRAM}..{(1 << windows.COUNT_BITS) + GRAM - 1}")
     found = windows.survey(docs, width, GRAM, byte_grams, _about, "n_bytes bigint", "byte-survey")
-    chosen = windows.candidates(docs, found, True, "byte-candidates")
+    chosen = windows.candidates(found, True, "byte-candidates")
 
     def cut(text: bytes, runs: list[tuple[int, int]]) -> list[bytes]:
         return [text[a: a + n] for a, n in runs]
 
-    rows = windows.contents(chosen, width, cut, "byte-stretches")
+    rows = windows.contents(docs, chosen, width, cut, "byte-stretches")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held in windows.shards(batches, SHARD):
@@ -278,8 +278,8 @@ def remove_repeats(docs: DataFrame, width: int = 400) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * 4, kinds)],
                                              names=["anchor", "digest", "first", "last"])
 
-    marked = arrow_map(windows.distinct_contents(rows), search,
-                       "anchor bigint, digest binary, first array<int>, last array<int>")
+    marked = materialise(arrow_map(windows.distinct_contents(rows), search,
+                                   "anchor bigint, digest binary, first array<int>, last array<int>"), "byte-marks")
     spots = rows.select("anchor", "digest", "doc", "key", "place").join(marked, ["anchor", "digest"])
     lists = spots.groupBy("doc", "key").agg(F.collect_list(F.struct("place", "first", "last")).alias("marks"))
 
@@ -305,7 +305,7 @@ def remove_repeats(docs: DataFrame, width: int = 400) -> DataFrame:
                 [pa.array(docs_, pa.int64()), pa.array(keys, pa.int64()), pa.array(removed, pa.int64()),
                  pa.array(spans, kind), pa.array(digests, pa.string())], names=["doc", "key", "removed", "spans", "sha"])
 
-    done = arrow_map(chosen.select("doc", "key", "text").join(lists, ["doc", "key"]).select("doc", "key", "text", "marks"), remove,
+    done = arrow_map(windows.with_texts(docs, lists, "marks"), remove,
                      "doc bigint, key bigint, removed bigint, spans array<struct<start:bigint,end:bigint>>, sha string")
     base = found.select("doc_id", windows.doc_or_last().alias("doc"), "key", "text_sha", "n_bytes")
     copies = base.groupBy("text_sha").agg(F.count(F.lit(1)).alias("copies"))
@@ -313,6 +313,7 @@ def remove_repeats(docs: DataFrame, width: int = 400) -> DataFrame:
     whole = (F.col("copies") > 1) & (F.col("n_bytes") >= width)
     span = F.struct(F.lit(0).cast("bigint").alias("start"), F.col("n_bytes").alias("end"))
     spans = F.when(whole, F.array(span)).otherwise(F.coalesce("spans", F.array().cast("array<struct<start:bigint,end:bigint>>")))
+    free_shuffles(docs.sparkSession)
     return joined.select(
         "doc_id", "n_bytes", F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("removed", F.lit(0))).alias("n_removed"),
         F.size(spans).cast("bigint").alias("n_spans"),

@@ -118,30 +118,37 @@ def survey(docs: DataFrame, width: int, gram: int, hashes: Callable, about: Call
     return materialise(arrow_map(_keyed(docs), look, result), purpose)
 
 
-def candidates(docs: DataFrame, found: DataFrame, within: bool, purpose: str) -> DataFrame:
-    """Stored (doc, key, text, stretches) of the texts with a stretch whose anchor gram repeats.
+def candidates(found: DataFrame, within: bool, purpose: str) -> DataFrame:
+    """Stored (doc, key, stretches) of the texts with a stretch whose anchor gram repeats.
 
     ``within``: a repeat in the same text counts. Whether an anchor repeats is added up before the shuffle
-    (its least and greatest text or place differ), and the answer has one row for each anchor, so the
-    join can split the rows of a hot one. Each text counts once, as its document with the smallest
-    doc_id (null is last).
+    (its least and greatest text or place differ). The answer is a stored table with one row for each anchor,
+    so both sides of the join are plain shuffles and Spark can split the rows of a hot anchor. Each text
+    counts once, as its document with the smallest doc_id (null is last).
     """
     rows = found.select(F.explode(F.arrays_zip("anchors", "places")).alias("x"), "row")
     rows = rows.select(F.col("x.anchors").alias("anchor"), "row", F.col("x.places").alias("place"))
     # Row numbers are small and near each other, so these shuffles carry little but the anchors.
     spot = F.struct("row", "place") if within else F.col("row")
-    repeated = rows.groupBy("anchor").agg(F.min(spot).alias("low"), F.max(spot).alias("high")).where("low <> high").select("anchor")
+    repeated = materialise(rows.groupBy("anchor").agg(F.min(spot).alias("low"), F.max(spot).alias("high"))
+                           .where("low <> high").select("anchor"), f"{purpose}-anchors")
     first = found.groupBy("text_sha").agg(F.min(F.struct(doc_or_last().alias("doc"), "row", "key")).alias("x")).select("x.*")
     lists = rows.join(repeated, "anchor").groupBy("row").agg(F.collect_list(F.struct("anchor", "place")).alias("stretches"))
-    lists = lists.join(first, "row").drop("row")
-    texts = _keyed(docs).drop("text_sha").withColumn("doc", doc_or_last())
+    return materialise(lists.join(first, "row").drop("row"), purpose)
+
+
+def with_texts(docs: DataFrame, lists: DataFrame, name: str) -> DataFrame:
+    """(doc, key, text, ``name``) of the texts in ``lists`` (doc, key, ``name``), each once.
+
+    Texts are shuffled when they are needed, not stored beside the documents.
+    """
+    texts = _keyed(docs).select(doc_or_last().alias("doc"), "key", "text")
     # Repeated rows have one doc and key; one of them stands for all.
-    joined = texts.join(lists, ["doc", "key"]).groupBy("doc", "key").agg(
-        F.any_value("text").alias("text"), F.any_value("stretches").alias("stretches"))
-    return materialise(joined, purpose)
+    return texts.join(lists, ["doc", "key"]).groupBy("doc", "key").agg(
+        F.any_value("text").alias("text"), F.any_value(name).alias(name))
 
 
-def contents(chosen: DataFrame, width: int, cut: Callable, purpose: str) -> DataFrame:
+def contents(docs: DataFrame, chosen: DataFrame, width: int, cut: Callable, purpose: str) -> DataFrame:
     """Stored (anchor, digest, content, doc, key, place) of every stretch of ``chosen``.
 
     ``cut(text, [(first, units)])`` gives the bytes of these runs of units.
@@ -150,9 +157,9 @@ def contents(chosen: DataFrame, width: int, cut: Callable, purpose: str) -> Data
         mask = (1 << COUNT_BITS) - 1
         for whole in batches:
             for batch in batches_of(whole, 1 << 20):
-                docs, keys, texts, lists = (c.to_pylist() for c in batch.columns)
+                ids, keys, texts, lists = (c.to_pylist() for c in batch.columns)
                 rows = []
-                for doc, key, text, marks in zip(docs, keys, texts, lists):
+                for doc, key, text, marks in zip(ids, keys, texts, lists):
                     runs = [(m["place"] >> COUNT_BITS, (m["place"] & mask) + width) for m in marks]
                     for m, content in zip(marks, cut(text.encode("utf-8", "replace"), runs)):
                         rows.append((m["anchor"], hashlib.md5(content).digest(), content, doc, key, m["place"]))
@@ -162,7 +169,7 @@ def contents(chosen: DataFrame, width: int, cut: Callable, purpose: str) -> Data
                     names=["anchor", "digest", "content", "doc", "key", "place"])
 
     result = "anchor bigint, digest binary, content binary, doc bigint, key bigint, place bigint"
-    return materialise(arrow_map(chosen.select("doc", "key", "text", "stretches"), take, result), purpose)
+    return materialise(arrow_map(with_texts(docs, chosen, "stretches"), take, result), purpose)
 
 
 def distinct_contents(rows: DataFrame) -> DataFrame:
