@@ -28,21 +28,22 @@ def union_all(parts: Sequence[DataFrame]) -> DataFrame:
 def orphan_checks(fact: DataFrame, keys: Sequence[ForeignKey]) -> DataFrame:
     """Fact rows whose key is in no dimension row.
 
-    Each key column is reduced to its distinct values with row counts before the anti join, so the
-    fact is shuffled as one row per task and value, and a hot value costs no more than a rare one.
+    The key columns are turned into (check, key) pairs and counted in one pass over the fact, as one row
+    per task and value, so a hot value costs no more than a rare one. The dimensions' keys form one table of
+    pairs, and one join finds the values without a member. NULL keys and those allowed are no orphans.
     """
-    parts = []
-    for key in keys:
-        used = fact.groupBy(F.col(key.fact_column).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
-        if key.allow is not None:
-            used = used.filter(F.col("_k") != key.allow)
-        else:
-            used = used.filter(F.col("_k").isNotNull())
-        known = key.dimension.select(F.col(key.dimension_column).alias("_k"))
-        missing = used.join(known, "_k", "left_anti")
-        parts.append(missing.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("violation_count"))
-                     .select(F.lit(key.label).alias("check_type"), "violation_count"))
-    return union_all(parts)
+    pairs = F.array(*[F.struct(F.lit(i).alias("_check"), F.col(key.fact_column).cast("bigint").alias("_k"))
+                      for i, key in enumerate(keys)])
+    used = fact.select(F.inline(pairs)).filter("_k is not null").groupBy("_check", "_k").agg(F.count(F.lit(1)).alias("_n"))
+    known = union_all([key.dimension.select(F.lit(i).alias("_check"), F.col(key.dimension_column).cast("bigint").alias("_k"))
+                       for i, key in enumerate(keys)])
+    missing = used.join(known, ["_check", "_k"], "left_anti")
+    counts = missing.agg(*[
+        F.coalesce(F.sum(F.when((F.col("_check") == i) & (F.lit(key.allow is None) | (F.col("_k") != F.lit(key.allow))),
+                                F.col("_n"))), F.lit(0)).alias(f"c{i}")
+        for i, key in enumerate(keys)])
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(key.label).alias("check_type"), F.col(f"c{i}").alias("violation_count")) for i, key in enumerate(keys)])))
 
 
 def rule_checks(df: DataFrame, rules: dict[str, Column]) -> DataFrame:

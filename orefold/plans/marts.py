@@ -61,16 +61,30 @@ def _unknown(key: str, name: str) -> Column:
     return F.count_if(F.col(key) == UNKNOWN_KEY).alias(name)
 
 
+def _with_counts(rows: DataFrame, measured: DataFrame, distinct: Mapping[str, str]) -> DataFrame:
+    """``measured`` (one row) and the number of distinct values of columns, each from a branch of its own.
+
+    A branch reads one column and sends each value once per task; counting next to the measures would
+    copy every row, measures included, once per distinct count. NULL is no value.
+    """
+    out = measured.withColumn("_one", F.lit(1))
+    for name, column in distinct.items():
+        values = rows.select(column).filter(F.col(column).isNotNull()).distinct()
+        out = out.join(values.agg(F.count(F.lit(1)).alias(name)).withColumn("_one", F.lit(1)), "_one")
+    return out.drop("_one")
+
+
 def staging_stats(staged: DataFrame) -> DataFrame:
-    return staged.agg(
+    measured = staged.agg(
         F.count(F.lit(1)).alias("total_rows"),
-        _orders("distinct_orders"),
-        F.count_distinct("sales_order_detail_id").alias("distinct_details"),
         _unknown(CUSTOMER_SK, "unknown_customers"),
         _unknown(GEOGRAPHY_SK, "unknown_geographies"),
         _unknown(PRODUCT_SK, "unknown_products"),
         F.sum("sales_line_total").cast("decimal(38,6)").alias("total_sales"),
     )
+    distinct = {"distinct_orders": "sales_order_id", "distinct_details": "sales_order_detail_id"}
+    return _with_counts(staged, measured, distinct).select(
+        "total_rows", *distinct, "unknown_customers", "unknown_geographies", "unknown_products", "total_sales")
 
 
 def fact_stats(fact: DataFrame) -> DataFrame:
@@ -89,17 +103,17 @@ def fact_stats(fact: DataFrame) -> DataFrame:
 
 
 def fact_final_stats(fact: DataFrame) -> DataFrame:
-    total = F.sum("sales_line_total")
-    return fact.agg(
+    measured = fact.agg(
         F.count(F.lit(1)).alias("row_count"),
-        _orders("distinct_orders"),
-        F.count_distinct(CUSTOMER_SK).alias("distinct_customers"),
-        F.count_distinct(PRODUCT_SK).alias("distinct_products"),
-        F.round(total, 2).cast("decimal(38,2)").alias("total_sales_amount"),
+        F.round(F.sum("sales_line_total"), 2).cast("decimal(38,2)").alias("total_sales_amount"),
         F.round(F.avg("sales_line_total"), 2).cast("decimal(38,2)").alias("avg_line_amount"),
         F.min("_tf_create_date").alias("first_load_date"),
         F.max("_tf_create_date").alias("last_load_date"),
-    ).select(F.lit("fact_sales").alias("table_name"), "*")
+    )
+    distinct = {"distinct_orders": "sales_order_id", "distinct_customers": CUSTOMER_SK, "distinct_products": PRODUCT_SK}
+    return _with_counts(fact, measured, distinct).select(
+        F.lit("fact_sales").alias("table_name"), "row_count", *distinct, "total_sales_amount", "avg_line_amount",
+        "first_load_date", "last_load_date")
 
 
 def _by_member(rows: DataFrame, key: str, dimension: DataFrame, attributes: Sequence[str],
