@@ -17,7 +17,9 @@ from orefold.llm.common import SPACE, check_columns, materialise, partitions, wh
 
 CELLS = 16
 LEAST_LEVEL = 4
-EMPTY = "------"
+WIDTH = 6
+EMPTY = "-" * WIDTH
+KINDS = ("own", "changed")
 
 
 def terms(text: Column) -> Column:
@@ -78,56 +80,75 @@ def edited(text: Column, following: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), F.length(text) - quarter), F.substring(following, F.lit(1), quarter))
 
 
-def prints(rows: DataFrame, band: DataFrame, small: bool) -> DataFrame:
-    """(id, level, parts) of rows (id, terms); ``parts`` has the parts of ``level`` and then of the next.
+def _level(words: Column) -> Column:
+    return F.greatest(F.lit(LEAST_LEVEL), F.floor(F.log2(F.greatest(F.size(words), F.lit(1)) * 0.5)).cast("int"))
 
-    A row without a term in the band gets level 0 and one part from all its terms.
-    """
-    level = F.greatest(F.lit(LEAST_LEVEL), F.floor(F.log2(F.greatest(F.size("terms"), F.lit(1)) * 0.5)).cast("int"))
-    wide = rows.select("id", "terms", level.alias("level"))
-    spread = wide.select("id", "level", F.explode_outer("terms").alias("term"))
-    marked = spread.join(F.broadcast(band.withColumn("held", F.lit(True))) if small else band.withColumn("held", F.lit(True)),
-                         "term", "left")
-    code = _code(F.col("term"))
-    taken = F.col("held") & (F.pmod(code, _cells(F.col("level"))) < CELLS)
-    found = marked.groupBy("id", "level").agg(
-        F.collect_list(F.when(taken, code)).alias("codes"), F.count("held").alias("n_held"),
-        F.sum(F.pmod(code, F.lit(1 << 24))).alias("all"))
-    ready = found.withColumn("codes", F.sort_array("codes"))
 
-    def parts(more: int) -> Column:
-        size = _cells(F.col("level") + more)
+def in_subsets(words: Column, level: Column) -> Column:
+    """Those terms that fall into the subsets of ``level``; the finer subsets of the next level are parts of these."""
+    return F.filter(words, lambda t: F.pmod(_code(t), _cells(level)) < CELLS)
+
+
+def _short(code: Column) -> Column:
+    return F.lpad(F.lower(F.hex(F.pmod(code, F.lit(1 << 24)))), WIDTH, "0")
+
+
+def _print(level: Column, whole: Column, codes: Column) -> Column:
+    """(level, parts): the parts of ``level`` and then of the next, joined; level 0 and ``whole`` without codes."""
+    ready = F.sort_array(codes)
 
+    def parts(more: int) -> Column:
         def part(cell: Column) -> Column:
-            own = F.filter("codes", lambda c: F.pmod(c, size) == cell)
-            return F.when(F.size(own) > 0, F.lpad(F.lower(F.hex(F.pmod(F.xxhash64(own), F.lit(1 << 24)))), 6, "0")).otherwise(EMPTY)
+            own = F.filter(ready, lambda c: F.pmod(c, _cells(level + more)) == cell)
+            return F.when(F.size(own) > 0, _short(F.xxhash64(own))).otherwise(EMPTY)
 
-        return F.transform(F.sequence(F.lit(0), F.lit(CELLS - 1)), part)
+        return F.concat_ws("", F.transform(F.sequence(F.lit(0), F.lit(CELLS - 1)), part))
 
-    lone = F.array(F.lpad(F.lower(F.hex(F.pmod(F.coalesce("all", F.lit(0)), F.lit(1 << 24)))), 6, "0"))
-    held = F.col("n_held") > 0
-    return ready.select("id", F.when(held, F.col("level")).otherwise(0).alias("level"),
-                        F.when(held, F.concat(parts(0), parts(1))).otherwise(lone).alias("parts"))
+    held = F.size(codes) > 0
+    return F.struct(F.when(held, level).otherwise(0).alias("level"),
+                    F.when(held, F.concat(parts(0), parts(1))).otherwise(whole).alias("parts"))
 
 
-def as_text(level: Column, parts: Column) -> Column:
-    return F.concat(F.lpad(F.lower(F.hex(level)), 2, "0"), F.lit(":"), F.concat_ws("", parts))
+def prints(rows: DataFrame, band: DataFrame, small: bool) -> DataFrame:
+    """(id, own, changed), the fingerprints of both texts, for rows (id, and struct columns ``own`` and ``changed``
+    of level, whole and terms).
 
+    Only terms in a subset leave their row, and only those of the band go on to be grouped. A row without one
+    gets level 0 and a single part from all its terms.
+    """
+    spread = rows.select("id", F.explode(F.concat(*[
+        F.transform(f"{kind}.terms", lambda t, k=k: F.struct(F.lit(k).alias("kind"), t.alias("term")))
+        for k, kind in enumerate(KINDS)])).alias("x")).select("id", "x.kind", "x.term")
+    held = spread.join(F.broadcast(band) if small else band, "term", "left_semi")
+    codes = held.select("id", "kind", _code(F.col("term")).alias("code")).groupBy("id").agg(*[
+        F.collect_list(F.when(F.col("kind") == k, F.col("code"))).alias(f"{kind}_codes") for k, kind in enumerate(KINDS)])
+    narrow = rows.select("id", *[
+        F.struct(f"{kind}.level", f"{kind}.whole").alias(kind) for kind in KINDS])
+    joined = narrow.join(codes, "id", "left")
+    none = F.array().cast("array<bigint>")
+    return joined.select("id", *[
+        _print(F.col(f"{kind}.level"), F.col(f"{kind}.whole"), F.coalesce(f"{kind}_codes", none)).alias(kind) for kind in KINDS])
 
-def likeness(level_a: Column, a: Column, level_b: Column, b: Column) -> Column:
-    """Share of equal parts among those that either fingerprint fills, on the levels that both have."""
-    low, high = F.slice(a, 1, CELLS), F.slice(a, CELLS + 1, CELLS)
-    other_low, other_high = F.slice(b, 1, CELLS), F.slice(b, CELLS + 1, CELLS)
 
-    def share(x: Column, y: Column) -> Column:
-        pairs = F.arrays_zip(x.alias("x"), y.alias("y"))
+def as_text(print_: Column) -> Column:
+    return F.concat(F.lpad(F.lower(F.hex(print_["level"])), 2, "0"), F.lit(":"), print_["parts"])
+
+
+def likeness(one: Column, other: Column) -> Column:
+    """Share of equal parts among those that either fingerprint fills, on the levels that both have."""
+    def share(x: Column, start: int, y: Column, other_start: int, many: int) -> Column:
+        pairs = F.transform(F.sequence(F.lit(0), F.lit(many - 1)), lambda k: F.struct(
+            F.substring(x, k * WIDTH + start * WIDTH + 1, F.lit(WIDTH)).alias("x"),
+            F.substring(y, k * WIDTH + other_start * WIDTH + 1, F.lit(WIDTH)).alias("y")))
         filled = F.size(F.filter(pairs, lambda p: (p["x"] != EMPTY) | (p["y"] != EMPTY)))
         equal = F.size(F.filter(pairs, lambda p: (p["x"] == p["y"]) & (p["x"] != EMPTY)))
         return F.when(filled > 0, equal / filled).otherwise(F.lit(0.0))
 
-    return (F.when(level_a == level_b, share(a, b))
-            .when((level_a > 0) & (level_b == level_a + 1), share(high, other_low))
-            .when((level_b > 0) & (level_a == level_b + 1), share(low, other_high)).otherwise(F.lit(0.0)))
+    a, b, level_a, level_b = one["parts"], other["parts"], one["level"], other["level"]
+    return (F.when((level_a == 0) & (level_b == 0), (a == b).cast("double"))
+            .when(level_a == level_b, share(a, 0, b, 0, CELLS))
+            .when((level_a > 0) & (level_b == level_a + 1), share(a, CELLS, b, 0, CELLS))
+            .when((level_b > 0) & (level_a == level_b + 1), share(a, 0, b, CELLS, CELLS)).otherwise(F.lit(0.0)))
 
 
 def fingerprint_documents(docs: DataFrame, low: float = 0.001, high: float = 0.05) -> DataFrame:
@@ -142,17 +163,14 @@ def fingerprint_documents(docs: DataFrame, low: float = 0.001, high: float = 0.0
     rows = rows.select("doc_id", "id", "next_id", F.length("text").cast("bigint").alias("n_chars"),
                        F.sha2("edited", 256).alias("edited_sha256"), terms(F.col("text")).alias("own"),
                        terms(F.col("edited")).alias("changed"))
-    both = rows.select(F.struct("doc_id", "id", "next_id", "n_chars", "edited_sha256").alias("about"), F.explode(F.array(
-        F.struct(F.lit(0).alias("kind"), F.col("own").alias("terms")),
-        F.struct(F.lit(1).alias("kind"), F.col("changed").alias("terms")))).alias("x"))
-    rows = both.select(F.struct("about", "x.kind").alias("id"), "x.terms")
-    found = materialise(prints(rows, band, small).select("id.about.*", "id.kind", "level", "parts"), "prints")
-    own = found.where("kind = 0").drop("kind")
-    changed = found.where("kind = 1").select("id", F.col("level").alias("level_e"), F.col("parts").alias("parts_e"))
-    following = own.select(F.col("id").alias("next_id"), F.col("level").alias("level_n"), F.col("parts").alias("parts_n"))
-    joined = own.join(changed, "id").join(following, "next_id")
+    chosen = materialise(rows.select("doc_id", "id", "next_id", "n_chars", "edited_sha256", *[
+        F.struct(_level(F.col(kind)).alias("level"), _short(F.xxhash64(F.sort_array(kind))).alias("whole"),
+                 in_subsets(F.col(kind), _level(F.col(kind))).alias("terms")).alias(kind) for kind in KINDS]), "terms")
+    found = materialise(prints(chosen, band, small), "prints")
+    following = found.select(F.col("id").alias("next_id"), F.col("own").alias("following"))
+    joined = chosen.drop(*KINDS).join(found, "id").join(following, "next_id")
     return joined.select(
-        "doc_id", "n_chars", "edited_sha256", as_text(F.col("level"), F.col("parts")).alias("fingerprint"),
-        as_text(F.col("level_e"), F.col("parts_e")).alias("edited_fingerprint"),
-        likeness(F.col("level"), F.col("parts"), F.col("level_e"), F.col("parts_e")).alias("near_edited"),
-        likeness(F.col("level"), F.col("parts"), F.col("level_n"), F.col("parts_n")).alias("near_next"))
+        "doc_id", "n_chars", "edited_sha256", as_text(F.col("own")).alias("fingerprint"),
+        as_text(F.col("changed")).alias("edited_fingerprint"),
+        likeness(F.col("own"), F.col("changed")).alias("near_edited"),
+        likeness(F.col("own"), F.col("following")).alias("near_next"))
