@@ -4,13 +4,12 @@ A text is normalised by longest-prefix look-up in the model's compiled character
 result keeps the source byte it came from. The library segments, and the pieces, which cover the
 normalised text without gaps, are projected through those marks to byte spans of the original text.
 
-Where the model never merges over a word start, words (a blank and what follows) are segmented one by
-one and frequent ones remembered in the worker, in bounded number.
+With an empty map the marks need no look-up: each piece is as wide as its bytes, a blank's mark counts one,
+and the sum must be the text's length; texts with unknown pieces or marks of their own take the general way.
 """
 
 from __future__ import annotations
 
-import re
 import struct
 from collections.abc import Iterator
 
@@ -23,7 +22,6 @@ from pyspark.sql import types as T
 from orefold.llm.common import arrow_map, check_columns, only, schema, whole_text
 
 MARK = "▁".encode()  # stands for a blank
-REMEMBERED = 400_000
 RESULT = schema(doc_id=T.LongType(), ids=T.ArrayType(T.IntegerType()), begins=T.ArrayType(T.IntegerType()),
                 ends=T.ArrayType(T.IntegerType()), decoded=T.StringType())
 _LOADED: dict[str, "Encoder"] = {}
@@ -131,7 +129,8 @@ class Normaliser:
             if new:
                 put = new.replace(b" ", blank)
                 out += put
-                marks += [start] * len(put)
+                # What stays as it is keeps its own bytes; a replacement stands for the whole of its source.
+                marks += range(start, stop) if put == source[start:stop] else [start] * len(put)
                 after_blank = self.tidy and new[-1:] == b" "
             end = stop
         if self.tidy:
@@ -141,11 +140,10 @@ class Normaliser:
         return bytes(out), [*marks, end]
 
 
-class Encoder(dict):
-    """Word -> (ids, widths in source bytes) as little-endian 32-bit bytes, and the library's model."""
+class Encoder:
+    """The library's model, with byte spans for its pieces."""
 
     def __init__(self, path: str):
-        super().__init__()
         import sentencepiece
 
         self.library = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -155,8 +153,11 @@ class Encoder(dict):
         names = [self.library.id_to_piece(k) for k in range(self.library.get_piece_size())]
         self.sizes = [1 if self.library.is_byte(k) else 0 if self.library.is_unknown(k) else len(n.encode())
                       for k, n in enumerate(names)]
-        self.by_word = (not self.normalise.map.units and self.normalise.prefix and self.normalise.escape
-                        and not self.normalise.tidy and not any(re.search("[^▁]▁", n) for n in names))
+        #: Whether normalising only puts a mark before the text and for each blank.
+        self.plain = (not self.normalise.map.units and self.normalise.prefix and self.normalise.escape
+                      and not self.normalise.tidy)
+        marks = np.array([n.count("▁") for n in names])
+        self.widths = (np.array(self.sizes) - marks * (len(MARK) - 1)).astype("<i4")
 
     def spans(self, text: str, ids: list[int]) -> list[tuple[int, int]]:
         """Source byte span of each piece; a blank put before the text has an empty one."""
@@ -172,35 +173,19 @@ class Encoder(dict):
             raise ValueError("the pieces do not cover the normalised text")
         return out
 
-    def _packed(self, ids: list[int], spans: list[tuple[int, int]]) -> tuple[bytes, bytes]:
-        return np.array(ids, "<i4").tobytes(), np.array([e - b for b, e in spans], "<i4").tobytes()
-
-    def __missing__(self, word: str) -> tuple[bytes, bytes]:
-        """A word within a text: the blank before it is a source byte of its first piece."""
-        if not word:
-            raise KeyError(word)
-        ids = self.library.encode(word)
-        spans = self.spans(word, ids)
-        found = self._packed(ids, [(spans[0][0] - 1, spans[0][1]), *spans[1:]])
-        if len(self) < REMEMBERED:
-            self[word] = found
-        return found
-
-    def encode(self, text: str) -> tuple[bytes, bytes, int]:
-        """Ids, widths, and where the first piece begins."""
-        if not text:
-            return b"", b"", 0
-        if self.by_word:
-            try:
-                ids, widths = zip(*map(self.__getitem__, text.split(" ")))
-                width = np.frombuffer(b"".join(widths), "<i4").copy()
-                width[0] -= 1  # no blank stands before the text
-                return b"".join(ids), width.tobytes(), 0
-            except KeyError:  # blanks in a row, or at an end
-                pass
+    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, str]:
+        """Ids, where each piece begins and ends in the text's bytes, and the ids decoded."""
         ids = self.library.encode(text)
-        spans = self.spans(text, ids)
-        return (*self._packed(ids, spans), spans[0][0] if spans else 0)
+        decoded = self.library.decode(ids)
+        numbers = np.array(ids, "<i4")
+        if self.plain and ids and "▁" not in text:
+            width = self.widths[numbers]
+            width[0] -= 1  # no blank stands before the text
+            ends = np.cumsum(width, dtype="<i4")
+            if ends[-1] == len(text.encode("utf-8", "replace")):  # else there are unknown pieces
+                return numbers, ends - width, ends, decoded
+        spans = np.array(self.spans(text, ids), "<i4").reshape(-1, 2)
+        return numbers, spans[:, 0], spans[:, 1], decoded
 
 
 def encode_documents(docs: DataFrame, model: str) -> DataFrame:
@@ -210,10 +195,6 @@ def encode_documents(docs: DataFrame, model: str) -> DataFrame:
     """
     check_columns(docs, ["doc_id", "text"])
 
-    def lists(parts: list[bytes]) -> tuple[np.ndarray, pa.Array]:
-        sizes = np.cumsum([0, *[len(p) // 4 for p in parts]])
-        return np.frombuffer(b"".join(parts), "<i4"), pa.array(sizes, pa.int32())
-
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if model not in _LOADED:
             _LOADED[model] = Encoder(model)
@@ -221,19 +202,9 @@ def encode_documents(docs: DataFrame, model: str) -> DataFrame:
         for whole in batches:
             for first in range(0, whole.num_rows, 1000):
                 batch = whole.slice(first, 1000)
-                ids, ends, begins, decoded = [], [], [], []
-                for text in batch.column(1).to_pylist():
-                    found, width, start = encoder.encode(text)
-                    width = np.frombuffer(width, "<i4")
-                    end = np.cumsum(width, dtype="<i4") + np.int32(start)
-                    ids.append(found)
-                    ends.append(end.tobytes())
-                    begins.append((end - width).tobytes())
-                    decoded.append(encoder.library.decode(np.frombuffer(found, "<i4").tolist()))
-                columns = []
-                for part in (ids, begins, ends):
-                    values, sizes = lists(part)
-                    columns.append(pa.ListArray.from_arrays(sizes, pa.array(values, pa.int32())))
+                *lists, decoded = zip(*map(encoder.encode, batch.column(1).to_pylist()))
+                sizes = pa.array(np.cumsum([0, *map(len, lists[0])]), pa.int32())
+                columns = [pa.ListArray.from_arrays(sizes, pa.array(np.concatenate(part), pa.int32())) for part in lists]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), *columns, pa.array(decoded, pa.string())], names=RESULT.names)
 

@@ -92,11 +92,14 @@ def test_token_files(odd, docs):
 @given(TEXTS)
 @settings(max_examples=200, deadline=None)
 def test_pieces_and_spans(text):
-    encoder = pieces._LOADED.setdefault(MODEL, pieces.Encoder(MODEL))
-    ids, widths, first = encoder.encode(text)
-    found = np.frombuffer(ids, "<i4").tolist()
-    assert found == encoder.library.encode(text)
-    assert first + np.frombuffer(widths, "<i4").sum() == len(text.encode())
+    if MODEL not in pieces._LOADED:
+        pieces._LOADED[MODEL] = pieces.Encoder(MODEL)
+    encoder = pieces._LOADED[MODEL]
+    ids, begins, ends, decoded = encoder.encode(text)
+    assert ids.tolist() == encoder.library.encode(text)
+    assert decoded == encoder.library.decode(ids.tolist())
+    assert list(zip(begins.tolist(), ends.tolist())) == encoder.spans(text, ids.tolist())
+    assert not len(ends) or ends[-1] == len(text.encode()) and (begins[1:] == ends[:-1]).all()
 
 
 def test_longest_prefix_of_a_compiled_map():
