@@ -105,8 +105,9 @@ def responses(pages: DataFrame, warc_date: str = "2024-01-01T00:00:00Z") -> Data
             uri = row["url"] if row["url"] is not None else f"urn:page:{row['page_id']}"
             head = (f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(body)}\r\n"
                     f"X-Page-Id: {row['page_id']}\r\n\r\n").encode()
-            out.append(_record(row["page_id"], "response", record_urn("response", uri, str(row["page_id"]), digest(body)),
-                               None, uri, warc_date, "application/http; msgtype=response", head + body, digest(body), {}))
+            paid = digest(body)
+            out.append(_record(row["page_id"], "response", record_urn("response", uri, str(row["page_id"]), paid),
+                               None, uri, warc_date, "application/http; msgtype=response", head + body, paid, {}))
         return out
 
     columns = [F.col("page_id").cast("bigint"), F.col("url").cast("string"), F.col("html").cast("string")]
