@@ -116,9 +116,10 @@ def prints(rows: DataFrame, band: DataFrame, small: bool) -> DataFrame:
     Only terms in a subset leave their row, and only those of the band go on to be grouped. A row without one
     gets level 0 and a single part from all its terms.
     """
-    spread = rows.select("id", F.explode(F.concat(*[
-        F.transform(f"{kind}.terms", lambda t, k=k: F.struct(F.lit(k).alias("kind"), t.alias("term")))
-        for k, kind in enumerate(KINDS)])).alias("x")).select("id", "x.kind", "x.term")
+    def tagged(k: int) -> Column:
+        return F.transform(f"{KINDS[k]}.terms", lambda t: F.struct(F.lit(k).alias("kind"), t.alias("term")))
+
+    spread = rows.select("id", F.explode(F.concat(*map(tagged, range(len(KINDS))))).alias("x")).select("id", "x.kind", "x.term")
     held = spread.join(F.broadcast(band) if small else band, "term", "left_semi")
     codes = held.select("id", "kind", _code(F.col("term")).alias("code")).groupBy("id").agg(*[
         F.collect_list(F.when(F.col("kind") == k, F.col("code"))).alias(f"{kind}_codes") for k, kind in enumerate(KINDS)])
