@@ -214,28 +214,38 @@ def near_duplicates(docs: DataFrame, width: int = 4, distance: int = 4) -> DataF
 
 #: Fingerprints of 64 bits that stand side by side for one text.
 LANES = 4
+#: Texts meet where all ``ROWS`` least hashes of one of ``BANDS`` bands are equal: of pairs with similarity
+#: 0.8 all but (1 - 0.8**5)**24 = 0.00007 do.
+BANDS, ROWS = 24, 5
+_TURN = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) | np.uint64(1)
+_PLUS = mix(np.arange(1001, BANDS * ROWS + 1001, dtype=np.uint64))
+_LANE_NAMES = [f"f{k}" for k in range(LANES)]
 
 
 def most_bits(similarity: float, lanes: int = LANES) -> int:
     """Bits in which ``lanes`` fingerprints of texts with this Jaccard similarity of shingles differ at most.
 
-    Equal-sized sets of similarity s have the cosine 2s / (1 + s), and each bit differs with the angle's
-    share of pi; one standard error is added, so that most pairs at the limit are linked.
+    Equal-sized sets of similarity s have the cosine 2s / (1 + s), others a higher one, and each bit differs
+    with the angle's share of pi; one standard error is added, so that most pairs at the limit are linked.
     """
     share = math.acos(2 * similarity / (1 + similarity)) / math.pi
     many = 64 * lanes
     return int(share * many + math.sqrt(many * share * (1 - share)))
 
 
-def wide_fingerprint(text: str, width: int, lanes: int = LANES) -> np.ndarray:
+def shingles(text: str, width: int) -> np.ndarray:
+    """Sorted distinct hashes of all ``width``-word shingles; a shorter text is one shingle, no words are none."""
     import xxhash
 
     found = words(text)
-    if not found:
-        return np.zeros(lanes, np.uint64)
-    many = max(1, len(found) - width + 1)
+    many = max(1, len(found) - width + 1) if found else 0
     digest = xxhash.xxh64_intdigest
-    hashes = np.unique(np.fromiter((digest(b" ".join(found[k: k + width])) for k in range(many)), np.uint64, many))
+    return np.unique(np.fromiter((digest(b" ".join(found[k: k + width])) for k in range(many)), np.uint64, many))
+
+
+def wide_fingerprint(hashes: np.ndarray, lanes: int = LANES) -> np.ndarray:
+    if not len(hashes):
+        return np.zeros(lanes, np.uint64)
     total = np.zeros(64 * lanes, np.int64)
     for at in range(0, len(hashes), 1 << 14):
         part = hashes[at: at + (1 << 14)]
@@ -244,75 +254,122 @@ def wide_fingerprint(text: str, width: int, lanes: int = LANES) -> np.ndarray:
     return np.packbits(2 * total > len(hashes), bitorder="little").view("<u8")
 
 
+def meeting_keys(hashes: np.ndarray) -> np.ndarray:
+    """One key for each band, made of its least hashes."""
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(hashes), 1 << 12):
+        part = hashes[at: at + (1 << 12), None]
+        least = np.minimum(least, ((part ^ _PLUS) * _TURN).min(axis=0))
+    keys = np.arange(BANDS, dtype=np.uint64)
+    for row in least.reshape(BANDS, ROWS).T:
+        keys = mix(keys ^ row)
+    return keys
+
+
+def _apart(lanes: np.ndarray, sizes: np.ndarray, at: np.ndarray, similarity: float) -> np.ndarray:
+    """Differing bits of the texts ``at`` and all others; more than there are where the sizes rule a link out."""
+    bits = np.bitwise_count(lanes[at, None, :] ^ lanes[None, :, :]).sum(axis=2, dtype=np.int64)
+    low, high = np.minimum(sizes[at, None], sizes[None, :]), np.maximum(sizes[at, None], sizes[None, :])
+    return np.where(low >= similarity * high - 1e-6, bits, 64 * LANES + 1)
+
+
+def nearest_tree(lanes: np.ndarray, sizes: np.ndarray, limit: int, similarity: float) -> list[tuple[int, int]]:
+    """Links of a least spanning forest of texts that differ in ``limit`` bits or fewer."""
+    out, left = [], np.ones(len(sizes), bool)
+    best, source, now = np.full(len(sizes), 64 * LANES + 1), np.zeros(len(sizes), np.int64), 0
+    for _ in range(len(sizes) - 1):
+        left[now] = False
+        bits = _apart(lanes, sizes, np.array([now]), similarity)[0]
+        nearer = left & (bits < best)
+        best[nearer], source[nearer] = bits[nearer], now
+        now = int(np.argmin(np.where(left, best, 64 * LANES + 2)))
+        if best[now] <= limit:
+            out.append((int(source[now]), now))
+    return out
+
+
+def _candidates(texts: DataFrame, limit: int, similarity: float, every: bool) -> DataFrame:
+    """Pairs (a, b) of texts (id, root, size, lanes, bands) with unlike roots that share a band and differ in
+    ``limit`` bits or fewer: ``every`` such pair, or for a start a least spanning forest of them in each band."""
+    placed = texts.select(F.explode("bands").alias("band"), "id", "root", "size", *_LANE_NAMES)
+    placed = placed.repartition(partitions(texts.sparkSession), "band").sortWithinPartitions("band", "id")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+        for keys, ids, roots, sizes, *lanes in whole_keys(batches):
+            wide = np.stack([x.view(np.uint64) for x in lanes], 1)
+            starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            many = np.diff(np.append(starts, len(keys)))
+            two = starts[many == 2]
+            bits = np.bitwise_count(wide[two] ^ wide[two + 1]).sum(axis=1, dtype=np.int64)
+            low, high = np.minimum(sizes[two], sizes[two + 1]), np.maximum(sizes[two], sizes[two + 1])
+            two = two[(bits <= limit) & (low >= similarity * high - 1e-6) & (roots[two] != roots[two + 1])]
+            yield rows(ids[two], ids[two + 1])
+            for start, size in zip(starts[many > 2].tolist(), many[many > 2].tolist()):
+                part = slice(start, start + size)
+                number, root = ids[part], roots[part]
+                if (root == root[0]).all():
+                    continue
+                if every:
+                    for first in range(0, size, 64):
+                        block = np.arange(first, min(first + 64, size))
+                        hit = (_apart(wide[part], sizes[part], block, similarity) <= limit) & (root[block, None] != root[None, :])
+                        a, b = np.nonzero(hit & (np.arange(size)[None, :] > block[:, None]))
+                        yield rows(number[block[a]], number[b])
+                    continue
+                for first in range(0, size, 4032):  # blocks share 64 texts
+                    block = slice(start + first, min(start + first + 4096, start + size))
+                    pairs = np.array(nearest_tree(wide[block], sizes[block], limit, similarity), np.int64).reshape(-1, 2)
+                    yield rows(ids[block][pairs[:, 0]], ids[block][pairs[:, 1]])
+
+    return arrow_map(placed, compare, "a bigint, b bigint").distinct()
+
+
 def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
-    """(doc_id, text_key, component_id) of documents (doc_id, text) whose shingles are about ``similarity`` alike.
+    """(doc_id, text_key, component_id, root) of documents (doc_id, text): groups of texts whose shingles are
+    about ``similarity`` alike. root names the group.
 
-    Four fingerprints stand for each text, and each of their halves is copied to its anchors. Texts that
-    meet there and differ little in that fingerprint are candidates (a spanning forest of them), and those
-    within ``most_bits`` over all four are linked. Copies are one text. Null text: no words, as one text.
+    Texts that share a band of least hashes and whose fingerprints differ in ``most_bits`` or fewer are
+    linked: first the nearest of them, which joins most of each group, then every pair that is not joined yet.
+    Copies are one text. Null text: no words; texts without words are alike.
     """
     check_columns(docs, ["doc_id", "text"])
-    limit, near = most_bits(similarity), most_bits(similarity, 1) + 3
+    limit = most_bits(similarity)
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([wide_fingerprint(t, width) for t in batch.column(2).to_pylist()], np.uint64).reshape(-1, LANES)
+            found = [shingles(t, width) for t in batch.column(2).to_pylist()]
+            lanes = np.array([wide_fingerprint(x) for x in found], np.uint64).reshape(-1, LANES)
+            bands = [meeting_keys(x).view(np.int64) for x in found]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), *[pa.array(found[:, k].view(np.int64)) for k in range(LANES)]],
-                names=["doc_id", "text_key", *[f"f{k}" for k in range(LANES)]])
+                [batch.column(0), batch.column(1), pa.array([len(x) for x in found], pa.int64()),
+                 pa.array(bands, pa.list_(pa.int64())), *[pa.array(lanes[:, k].view(np.int64)) for k in range(LANES)]],
+                names=["doc_id", "text_key", "size", "bands", *_LANE_NAMES])
 
-    lanes = ", ".join(f"f{k} bigint" for k in range(LANES))
     rows = docs.select(F.col("doc_id").cast("bigint"), F.sha2(whole_text(), 256).alias("text_key"), whole_text().alias("text"))
-    marked = materialise(arrow_map(rows, look, f"doc_id bigint, text_key string, {lanes}"), "wide-fingerprints")
-    # Texts are known by a number: the one of their smallest document, made unique by their key.
-    texts = marked.groupBy("text_key").agg(F.min("doc_id").alias("first"), *[F.any_value(f"f{k}").alias(f"f{k}") for k in range(LANES)])
+    kinds = ", ".join(f"{name} bigint" for name in _LANE_NAMES)
+    marked = materialise(arrow_map(rows, look, f"doc_id bigint, text_key string, size bigint, bands array<bigint>, {kinds}"),
+                         "wide-fingerprints")
+    # Texts are known by a number that follows from their key.
+    texts = marked.groupBy("text_key").agg(
+        F.min("doc_id").alias("first"), *[F.any_value(c).alias(c) for c in ("size", "bands", *_LANE_NAMES)])
     texts = materialise(texts.withColumn("id", F.xxhash64("text_key")), "texts")
-
-    def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for first in range(0, whole.num_rows, 10_000):
-                columns = [c.slice(first, 10_000).to_numpy(zero_copy_only=False) for c in whole.columns]
-                for lane in range(LANES):
-                    point = columns[1 + lane].view(np.uint64)
-                    for half in (0, 1):
-                        part = ((point >> np.uint64(32 * half)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-                        index, anchor = anchors(part)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(anchor.astype(np.int64) | ((2 * lane + half) << 32)), pa.array(columns[0][index]),
-                             pa.array(point[index].view(np.int64))], names=["anchor", "id", "point"])
-
-    placed = arrow_map(texts.select("id", *[f"f{k}" for k in range(LANES)]), copy, "anchor bigint, id bigint, point bigint")
-    placed = placed.repartition(partitions(docs.sparkSession), "anchor").sortWithinPartitions("anchor", "point", "id")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, ids, points in whole_keys(batches):
-            starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-            sizes = np.diff(np.append(starts, len(keys)))
-            values = points.view(np.uint64)
-            found: list[tuple[int, int]] = []
-            two = starts[sizes == 2]
-            take = two[np.bitwise_count(values[two] ^ values[two + 1]) <= near]
-            found.extend(zip(ids[take].tolist(), ids[take + 1].tolist()))
-            for start, size in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist()):
-                own = values[start: start + size]
-                first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-                number = ids[start: start + size]
-                same = np.repeat(number[first], np.diff(np.append(first, size)))
-                found.extend((a, b) for a, b in zip(same.tolist(), number.tolist()) if a != b)
-                known = dict(zip(own[first].tolist(), number[first].tolist()))
-                found.extend((known[a], known[b]) for a, b in spanning_links(own[first], near))
-            pairs = np.array(found, np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs.min(1)), pa.array(pairs.max(1))], names=["a", "b"])
-
-    pairs = arrow_map(placed, compare, "a bigint, b bigint").distinct()
-    side = lambda name: texts.select(F.col("id").alias(name), *[F.col(f"f{k}").alias(f"{name}{k}") for k in range(LANES)])
-    differ = sum((F.bit_count(F.col(f"a{k}").bitwiseXOR(F.col(f"b{k}"))) for k in range(LANES)), F.lit(0))
-    linked = pairs.join(side("a"), "a").join(side("b"), "b").where(differ <= limit).select("a", "b")
-    joined = components(linked)
-    named = texts.select("id", "text_key", "first").join(joined.withColumnRenamed("node", "id"), "id", "left").select(
-        "text_key", "first", F.coalesce("root", "id").alias("root"))
+    start = materialise(_candidates(texts.withColumn("root", F.col("id")), limit, similarity, False), "nearest")
+    joined = components(start).withColumnRenamed("node", "id")
+    rooted = materialise(texts.join(joined, "id", "left").withColumn("root", F.coalesce("root", "id")), "rooted")
+    rest = materialise(_candidates(rooted, limit, similarity, True), "rest")
+    named = rooted.select("id", "text_key", "first", "root")
+    more = rest
+    if not more.isEmpty():
+        side = lambda name: named.select(F.col("id").alias(name), F.col("root").alias(f"root_{name}"))
+        between = more.join(side("a"), "a").join(side("b"), "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
+        joined = components(between).select(F.col("node").alias("root"), F.col("root").alias("last"))
+        named = named.join(joined, "root", "left").select("text_key", "first", F.coalesce("last", "root").alias("root"))
     smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    return marked.select("doc_id", "text_key").join(named.join(smallest, "root").select("text_key", "component_id"), "text_key")
+    return marked.select("doc_id", "text_key").join(
+        named.join(smallest, "root").select("text_key", "component_id", "root"), "text_key")
 
 
 def keep_one(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:

@@ -128,3 +128,45 @@ def test_simhash_groups(odd, docs):
     assert kept.columns == odd.columns
     ids = [r.doc_id for r in kept.collect()]
     assert 1 in ids and 5 not in ids and 4 not in ids and ids.count(3) == 1
+
+
+def near_brute(texts, width=5, similarity=0.8):
+    """Component of each text, by all pairs of shingle sets."""
+    sets = []
+    for t in texts:
+        w = re.findall(r"[^\x20\x09-\x0D]+", (t or "").lower())
+        sets.append({tuple(w[k: k + width]) for k in range(max(1, len(w) - width + 1))} if w else set())
+    root = list(range(len(texts)))
+
+    def find(p):
+        while root[p] != p:
+            p = root[p]
+        return p
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if not (a | sets[j]) or len(a & sets[j]) / len(a | sets[j]) >= similarity:
+                root[max(find(i), find(j))] = min(find(i), find(j))
+    return [find(i) for i in range(len(texts))]
+
+
+def varied(rng, base, edits):
+    """``base`` with ``edits`` words replaced, each far enough from the others to spoil five shingles."""
+    out = list(base)
+    for at in rng.sample(range(len(base) // 6), edits):
+        out[6 * at + 2] = f"new{rng.random()}"
+    return out
+
+
+def test_no_link_is_lost_among_looser_relatives(docs):
+    rng = random.Random(7)
+    texts = []
+    for family in range(6):  # one template each; its variants are looser relatives, and their variants near copies
+        base = [f"w{family}_{k}" for k in range(240)]
+        for _ in range(12):
+            one = varied(rng, base, 10)
+            texts += [one, varied(rng, one, 3)]
+    texts = [" ".join(t) for t in texts]
+    rng.shuffle(texts)
+    found = {r.doc_id: r.component_id for r in simhash.similar_groups(docs(*enumerate(texts))).collect()}
+    assert [found[k] for k in range(len(texts))] == near_brute(texts)
