@@ -226,11 +226,11 @@ def most_bits(similarity: float, lanes: int = LANES) -> int:
     """Bits in which ``lanes`` fingerprints of texts with this Jaccard similarity of shingles differ at most.
 
     Equal-sized sets of similarity s have the cosine 2s / (1 + s), others a higher one, and each bit differs
-    with the angle's share of pi; one standard error is added, so that most pairs at the limit are linked.
+    with the angle's share of pi; five standard errors are added, so that a test loses next to no pair.
     """
     share = math.acos(2 * similarity / (1 + similarity)) / math.pi
     many = 64 * lanes
-    return int(share * many + math.sqrt(many * share * (1 - share)))
+    return int(share * many + 5 * math.sqrt(many * share * (1 - share)))
 
 
 def shingles(text: str, width: int) -> np.ndarray:
@@ -327,13 +327,40 @@ def _candidates(texts: DataFrame, limit: int, similarity: float, every: bool) ->
     return arrow_map(placed, compare, "a bigint, b bigint").distinct()
 
 
+def _alike(pairs: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
+    """Those of the ``pairs`` (a, b) of text numbers whose shingles have the Jaccard similarity, by their full sets."""
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingles(t, width).tobytes() for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["id", "set"])
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            take = []
+            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                one, other = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                both = len(np.intersect1d(one, other, assume_unique=True))
+                union = len(one) + len(other) - both
+                take.append(not union or both / union >= similarity)
+            yield batch.select(["a", "b"]).filter(pa.array(take, pa.bool_()))
+
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    texts = docs.select(F.xxhash64(F.sha2(whole_text(), 256)).alias("id"), whole_text().alias("text"))
+    texts = texts.join(wanted, "id", "left_semi").groupBy("id").agg(F.any_value("text").alias("text"))
+    known = materialise(arrow_map(texts, sets, "id bigint, set binary"), "shingles")
+    side = lambda name: known.select(F.col("id").alias(name), F.col("set").alias(f"set_{name}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b")
+    return arrow_map(both, test, "a bigint, b bigint")
+
+
 def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
-    """(doc_id, text_key, component_id, root) of documents (doc_id, text): groups of texts whose shingles are
-    about ``similarity`` alike. root names the group.
+    """(doc_id, text_key, component_id, root) of documents (doc_id, text): groups of texts that links join, which
+    are pairs with a Jaccard similarity of ``similarity`` or more of their shingles. root names the group.
 
     Texts that share a band of least hashes and whose fingerprints differ in ``most_bits`` or fewer are
-    linked: first the nearest of them, which joins most of each group, then every pair that is not joined yet.
-    Copies are one text. Null text: no words; texts without words are alike.
+    candidates, and their full shingle sets decide. A first round tries the nearest candidates only, which joins
+    most of each group; a second one tries every candidate pair that is not joined yet, so none is passed
+    over. Copies are one text. Null text: no words; texts without words are alike.
     """
     check_columns(docs, ["doc_id", "text"])
     limit = most_bits(similarity)
@@ -357,11 +384,11 @@ def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8) ->
         F.min("doc_id").alias("first"), *[F.any_value(c).alias(c) for c in ("size", "bands", *_LANE_NAMES)])
     texts = materialise(texts.withColumn("id", F.xxhash64("text_key")), "texts")
     start = materialise(_candidates(texts.withColumn("root", F.col("id")), limit, similarity, False), "nearest")
-    joined = components(start).withColumnRenamed("node", "id")
+    joined = components(_alike(start, docs, width, similarity)).withColumnRenamed("node", "id")
     rooted = materialise(texts.join(joined, "id", "left").withColumn("root", F.coalesce("root", "id")), "rooted")
     rest = materialise(_candidates(rooted, limit, similarity, True), "rest")
     named = rooted.select("id", "text_key", "first", "root")
-    more = rest
+    more = materialise(_alike(rest, docs, width, similarity), "more")
     if not more.isEmpty():
         side = lambda name: named.select(F.col("id").alias(name), F.col("root").alias(f"root_{name}"))
         between = more.join(side("a"), "a").join(side("b"), "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))

@@ -170,3 +170,18 @@ def test_no_link_is_lost_among_looser_relatives(docs):
     rng.shuffle(texts)
     found = {r.doc_id: r.component_id for r in simhash.similar_groups(docs(*enumerate(texts))).collect()}
     assert [found[k] for k in range(len(texts))] == near_brute(texts)
+
+
+def test_near_copies_are_the_pairs_at_the_limit(docs):
+    rng = random.Random(8)
+    texts = []
+    for edits in [3, 4, 5, 6, 7] * 30:  # of 236 shingles: similarity 0.88, 0.84, 0.81, 0.77, 0.74
+        base = [f"v{rng.random()}" for _ in range(240)]
+        texts += [" ".join(base), " ".join(varied(rng, base, edits))]
+    for words in (["a"], ["a", "b"], ["A", "b"], list("abcde"), list("abcdef"), list("abcdefgh"), list("abcdefghi"), []):
+        texts.append(" ".join(words))
+    want = near_brute(texts)
+    found = {r.doc_id: r.component_id for r in simhash.similar_groups(docs(*enumerate(texts))).collect()}
+    assert [found[k] for k in range(len(texts))] == want
+    kept = sorted(r.doc_id for r in simhash.keep_one(docs(*enumerate(texts))).collect())
+    assert kept == sorted(set(want))
