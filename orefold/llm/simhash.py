@@ -406,11 +406,17 @@ def keep_one(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFr
     """
     names = docs.columns
     groups = materialise(similar_groups(docs, width, similarity), "groups")
-    gone = groups.where(~F.coalesce("doc_id", F.lit(-1)).eqNullSafe(F.coalesce("component_id", F.lit(-1)))).select(
-        F.col("doc_id").alias("__doc"), F.col("text_key").alias("__key")).distinct()
-    rows = docs.withColumn("__own", F.sha2(whole_text(), 256))
-    rows = rows.join(gone, F.col("doc_id").cast("bigint").eqNullSafe(F.col("__doc")) & (F.col("__own") == F.col("__key")), "left_anti")
-    repeated = groups.groupBy("component_id").agg(F.count_if(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("n")).where("n > 1")
+    # A row is known by doc_id and text. Texts of one doc_id may be in unlike groups, so groups go by their root.
+    row = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")
+    known = groups.groupBy("root", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("n"))
+    best = groups.groupBy("root").agg(F.min(row).alias("best"))
+    marked = known.join(best, "root").select(
+        F.col("doc_id").alias("__doc"), F.col("text_key").alias("__key"), "n", row.eqNullSafe(F.col("best")).alias("stays"))
+    marked = materialise(marked.where("not stays or n > 1"), "marked")
+    own = F.col("doc_id").cast("bigint").eqNullSafe(F.col("__doc")) & (F.col("__own") == F.col("__key"))
+    rows = docs.withColumn("__own", F.sha2(whole_text(), 256)).join(marked.where("not stays").select("__doc", "__key"), own, "left_anti")
+    repeated = marked.where("stays").select("__doc", "__key")
     if not repeated.isEmpty():
-        rows = rows.dropDuplicates(["doc_id"])
+        one = rows.join(repeated, own, "left_semi").dropDuplicates(["doc_id", "__own"])
+        rows = rows.join(repeated, own, "left_anti").unionByName(one)
     return rows.select(*[F.col(f"`{c}`") for c in names])

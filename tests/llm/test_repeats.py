@@ -185,3 +185,10 @@ def test_near_copies_are_the_pairs_at_the_limit(docs):
     assert [found[k] for k in range(len(texts))] == want
     kept = sorted(r.doc_id for r in simhash.keep_one(docs(*enumerate(texts))).collect())
     assert kept == sorted(set(want))
+
+
+def test_unrelated_rows_without_or_under_one_id_stay(docs):
+    one, two, three, four = (" ".join(f"{name}{k}" for k in range(30)) for name in "abcd")
+    rows = [(None, one), (None, two), (None, two), (3, one), (4, three), (4, three), (4, four), (5, four), (6, four + " more"), (None, None)]
+    kept = sorted(((r.doc_id, r.text) for r in simhash.keep_one(docs(*rows)).collect()), key=str)
+    assert kept == sorted([(None, two), (3, one), (4, three), (4, four), (None, None)], key=str)
