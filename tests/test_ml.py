@@ -75,3 +75,19 @@ def test_search_records_failures_and_repeats(spark, people, monkeypatch):
     mixed = tuning.search(people, SPEC, "id", trials=4, space=tuning.WIDE_SPACE, folds=2)
     assert mixed.failed == mixed.table(spark).filter("state = 'FAIL'").count() > 0
     assert mixed.top(spark, 10).count() == 4 - mixed.failed
+
+
+def test_registered_queries_run_the_whole_search(spark, sample, monkeypatch):
+    from orefold.queries import learning
+
+    seen = []
+    monkeypatch.setattr(models, "train", lambda rows, spec, classifier: seen.append(classifier.getMaxIter()))
+    monkeypatch.setattr(models, "predict", lambda *a: None)
+    learning.boosted_predict(spark, sample)
+    assert seen == [models.BOOSTED["maxIter"]] == [300]
+    monkeypatch.setattr(tuning, "classifier", lambda params: None)  # every trial fails at once, and is counted
+    assert learning.trials(spark, sample).count() == 200
+    search = tuning.search
+    monkeypatch.setattr(tuning, "search", lambda *a: seen.append(len(search(*a).trials)) or tuning.Study())
+    learning.top_trials(spark, sample)
+    assert seen[1:] == [100]
