@@ -69,6 +69,15 @@ def check_columns(df: DataFrame, wanted: Sequence[str]) -> None:
         raise ValueError(f"missing columns: {missing}")
 
 
+#: Byte -> itself for digits, small letters and bytes beyond ASCII, the small letter for A-Z, else a blank.
+WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
+
+
+def lower_words(text: bytes) -> list[bytes]:
+    """Maximal runs of digits, letters and characters beyond ASCII in UTF-8, with A-Z (only) in lower case."""
+    return text.translate(WORD_BYTES).split()
+
+
 _SHIPPED: set[str] = set()
 
 
