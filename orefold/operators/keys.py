@@ -3,33 +3,52 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orefold.functions.columns import row_hash
 
 
-def null_key(keys: Sequence[str]) -> Column:
-    return reduce(or_, [F.col(k).isNull() for k in keys])
-
-
 def guard_keys(df: DataFrame, keys: Sequence[str], what: str = "source") -> DataFrame:
     """``df`` itself, failing at run time on a NULL or repeated key.
 
-    The count runs over the hash partitioning by ``keys`` that the merge join needs anyway, so the
-    check adds no exchange of its own.
+    NULL keys fail where they are read, before any exchange. Repeats are found by counting a keys-only
+    projection, combined before it is shuffled, so a key that holds many rows is one row per task. The
+    rows then meet their counted key in the hash partitioning that the merge join needs anyway.
     """
-    copies = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    keys, types = list(keys), {f.name: f.dataType for f in df.schema.fields}
     listed = ", ".join(keys)
-    test = (
-        F.when(null_key(keys), F.raise_error(F.lit(f"NULL key ({listed}) in {what}")).cast("boolean"))
-        .when(F.col("_copies") > 1, F.raise_error(F.lit(f"duplicate key ({listed}) in {what}")).cast("boolean"))
-        .otherwise(F.lit(True))
-    )
-    return df.withColumn("_copies", copies).filter(test).drop("_copies")
+    missing = F.raise_error(F.lit(f"NULL key ({listed}) in {what}"))
+    # The key itself carries the test, so no filter on it can run without the test.
+    given = df.withColumns({k: F.coalesce(F.col(k), missing.cast(types[k])) for k in keys})
+    return given.join(_once(given.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies")), keys, what), keys, "left_semi")
+
+
+def _once(counted: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
+    text = F.lit(f"duplicate key ({', '.join(keys)}) in {what}")
+    return counted.filter(F.when(F.col("_copies") > 1, F.raise_error(text).cast("boolean")).otherwise(F.lit(True))).drop("_copies")
+
+
+def guard_digests(df: DataFrame, keys: Sequence[str], digests: Sequence[str], what: str = "source") -> DataFrame:
+    """Keys and 64-bit digests of ``df``, failing on a NULL or repeated key: one aggregate over one read.
+
+    The digests are numbers, so rows of a repeated key are combined before the shuffle.
+    """
+    keys, types = list(keys), {f.name: f.dataType for f in df.schema.fields}
+    missing = F.raise_error(F.lit(f"NULL key ({', '.join(keys)}) in {what}"))
+    given = df.select(*[F.coalesce(F.col(k), missing.cast(types[k])).alias(k) for k in keys], *digests)
+    counted = given.groupBy(*keys).agg(*[F.max(d).alias(d) for d in digests], F.count(F.lit(1)).alias("_copies"))
+    return _once(counted, keys, what)
+
+
+#: Keys that one task numbers.
+BUCKET_KEYS = 1_000_000
+
+
+def key_buckets(rows: int) -> int:
+    """Buckets for numbering so many keys."""
+    return max(1, -(-rows // BUCKET_KEYS))
 
 
 def surrogate_keys(
@@ -37,30 +56,30 @@ def surrogate_keys(
     keys: Sequence[str],
     name: str,
     start: int = 1,
-    hex_digits: int = 3,
+    buckets: int = 4096,
     key_rows: DataFrame | None = None,
 ) -> DataFrame:
-    """Number the rows ``start, start+1, ...`` in one column ``name``, without gaps.
-
-    Rows are spread over ``16**hex_digits`` buckets by the leading digits of the key's MD5. A first
-    pass counts each bucket (map-side combine leaves at most that many rows), a running total turns
-    the counts into offsets, and a second pass numbers the rows inside each bucket. The result
-    depends on key values only, never on partition ids or arrival order, so a task that is run
-    again on another executor produces the same numbers. ``keys`` must be unique. Buckets are even
-    because unique keys hash evenly; raise ``hex_digits`` when a bucket would exceed one task.
-    ``key_rows`` may give the same keys from a cheaper place for the counting pass.
+    """Number the rows ``start, start+1, ...`` in one column ``name``, without gaps, in the order of the keys' MD5.
+
+    Only the keys are numbered; the rows meet their number by an equality join. The MD5's range is cut
+    into ``buckets`` of equal width, which unique keys fill evenly. A first pass counts each bucket
+    (combined before the shuffle), a running total over one row per bucket gives the offsets, and a second
+    pass numbers the keys inside each bucket. Numbers depend on key values only: not on partition
+    ids, arrival order or the number of buckets, so they can be sized by the table (``key_buckets``) and a task that is run
+    again gives the same ones. ``keys`` must be unique. ``key_rows`` may give the same keys from a cheaper place.
     """
-    bucketed = df.withColumn("_bucket", F.substring(row_hash(keys), 1, hex_digits))
-    counted = df if key_rows is None else key_rows
-    counts = counted.groupBy(F.substring(row_hash(keys), 1, hex_digits).alias("_bucket")).count()
-    # Bounded input: one row per bucket (4,096 at three digits), so one task may hold them all.
+    keys = list(keys)
+    width = -(-(1 << 60) // buckets)
+    bucketed = (df if key_rows is None else key_rows).select(*keys).withColumn("_digest", row_hash(keys)).withColumn(
+        "_bucket", F.expr("conv(substring(_digest, 1, 15), 16, 10)").cast("bigint"))
+    bucketed = bucketed.withColumn("_bucket", F.expr(f"_bucket div {width}"))
+    counts = bucketed.groupBy("_bucket").count()
+    # Bounded input: one short row per bucket.
     running = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        "_bucket",
-        F.coalesce(F.sum("count").over(running), F.lit(0)).alias("_offset"),
-    )
-    within = F.row_number().over(Window.partitionBy("_bucket").orderBy(*keys))
-    numbered = bucketed.withColumn("_position", within).join(F.broadcast(offsets), "_bucket")
-    return numbered.withColumn(
-        name, (F.lit(start - 1) + F.col("_offset") + F.col("_position")).cast("bigint")
-    ).drop("_bucket", "_offset", "_position")
+    offsets = counts.select("_bucket", F.coalesce(F.sum("count").over(running), F.lit(0)).alias("_offset"))
+    within = F.row_number().over(Window.partitionBy("_bucket").orderBy("_digest", *keys))
+    numbered = bucketed.withColumn("_position", within).join(offsets, "_bucket").select(
+        *keys, (F.lit(start - 1) + F.col("_offset") + F.col("_position")).cast("bigint").alias(name))
+    if df.columns == keys:
+        return numbered
+    return df.join(numbered, keys).select(*df.columns, name)

@@ -265,7 +265,7 @@ ORACLE = {
         (SELECT c.parent_product_category_id FROM ({q.category(3)}) c WHERE c.product_category_id = v.category_id LIMIT 1)
           AS parent_product_category_id FROM ({_all_categories(3)}) v""",
     "surrogate_keys": f"""SELECT sales_order_id, sales_order_detail_id, row_number() OVER (ORDER BY
-        substr(md5(CAST(sales_order_id AS VARCHAR) || '|' || CAST(sales_order_detail_id AS VARCHAR)), 1, 3),
+        md5(CAST(sales_order_id AS VARCHAR) || '|' || CAST(sales_order_detail_id AS VARCHAR)),
         sales_order_id, sales_order_detail_id) AS _tf_id FROM ({q.detail(3)})""",
     "change_feed": f"""
         SELECT {', '.join('n.' + c for c in _C)}, 'insert' AS _change_type FROM ({q.customer(2)}) n

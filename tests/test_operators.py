@@ -1,4 +1,5 @@
 import datetime as dt
+import hashlib
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -55,6 +56,10 @@ def test_surrogate_keys_are_gap_free_and_repeatable(spark):
     again = {r.id: r.sk for r in surrogate_keys(df.repartition(3), ["id"], "sk", start=11).collect()}
     assert sorted(once.values()) == list(range(11, 5011))
     assert once == again
+    for buckets in (1, 7, 100_000):  # the numbers do not depend on how the work is divided
+        assert once == {r.id: r.sk for r in surrogate_keys(df, ["id"], "sk", start=11, buckets=buckets).collect()}
+    digests = sorted((hashlib.md5(str(k).encode()).hexdigest(), k) for k in range(5000))
+    assert [once[k] for _, k in digests] == list(range(11, 5011))
 
 
 def test_hierarchy(spark):
