@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from orefold.queries import analyses, dimensions, learning, merges, quality, saved, scalars, storage
+from orefold.queries import analyses, dimensions, layered, learning, merges, quality, saved, scalars, storage
 
-MODULES = (saved, analyses, scalars, merges, dimensions, quality, storage, learning)
+MODULES = (saved, analyses, scalars, merges, dimensions, quality, storage, layered, learning)
 
 
 def all_queries() -> dict:
