@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from orefold.functions import DISCOUNT_BANDS, PRICE_BANDS, discount_band, rank_of
 from orefold.operators.star import UNKNOWN_KEY
+from orefold.sinks.files import stored
 
 CUSTOMER_SK, GEOGRAPHY_SK = "_tf_dim_customer_sk", "_tf_dim_geography_sk"
 PRODUCT_SK, CALENDAR_SK, CATEGORY_SK = "_tf_dim_product_sk", "_tf_dim_calendar_sk", "_tf_dim_product_category_sk"
@@ -127,19 +128,50 @@ def _by_member(rows: DataFrame, key: str, dimension: DataFrame, attributes: Sequ
     return grouped.join(current(dimension).select(key, *attributes), key).drop(key)
 
 
+def _top_members(rows: DataFrame, key: str, dimension: DataFrame, business_key: str, attributes: Sequence[str], n: int,
+                 quantity: str, average: tuple[str, str]) -> DataFrame:
+    """The ``n`` current members with the highest revenue, with order counts and attributes.
+
+    Measures are summed per surrogate key; only the members' two keys are joined before the ranking. The ``n``
+    winners come to the driver, and their keys become a filter of the fact scan that counts orders and of the
+    dimension scan that fetches the attributes: no other line is moved, and none with its measures.
+    """
+    mean_of, mean_name = average
+    totals = rows.groupBy(key).agg(_quantity(quantity), _revenue(), mean(mean_of, mean_name))
+    ranked = totals.join(current(dimension).select(key, business_key), key)
+    best = ranked.orderBy(F.desc("total_revenue"), business_key).limit(n)
+    winners = best.sparkSession.createDataFrame(best.collect(), best.schema)  # at most n rows
+    listed = [r[0] for r in winners.select(key).distinct().collect()]
+    orders = rows.filter(F.col(key).isin(listed)).select(key, "sales_order_id").distinct().groupBy(key).agg(
+        F.count("sales_order_id").alias("order_count"))
+    texts = current(dimension).filter(F.col(key).isin(listed)).select(key, *attributes)
+    return (winners.join(orders, key).join(texts, key)
+            .select(business_key, *attributes, "order_count", quantity, "total_revenue", mean_name)
+            .orderBy(F.desc("total_revenue"), business_key))
+
+
 def top_customers(star: Star, n: int = 10) -> DataFrame:
-    group = ["cust_customer_id", "cust_full_name", "cust_company_name"]
-    totals = _by_member(star.known(CUSTOMER_SK), CUSTOMER_SK, star.customer, group,
-                        _orders(), _quantity(), _revenue(), mean("sales_line_total", "avg_order_value"))
-    return totals.orderBy(F.desc("total_revenue"), "cust_customer_id").limit(n)
+    return _top_members(star.known(CUSTOMER_SK), CUSTOMER_SK, star.customer, "cust_customer_id",
+                        ["cust_full_name", "cust_company_name"], n, "total_quantity", ("sales_line_total", "avg_order_value"))
 
 
 def top_products(star: Star, n: int = 10) -> DataFrame:
-    group = ["prod_product_id", "prod_name", "prod_category_hierarchy", "prod_list_price", "prod_profit_margin"]
-    totals = _by_member(star.known(PRODUCT_SK), PRODUCT_SK, star.product, group,
-                        _orders(), _quantity("total_quantity_sold"), _revenue(),
-                        mean("sales_unit_price", "avg_selling_price"))
-    return totals.orderBy(F.desc("total_revenue"), "prod_product_id").limit(n)
+    return _top_members(star.known(PRODUCT_SK), PRODUCT_SK, star.product, "prod_product_id",
+                        ["prod_name", "prod_category_hierarchy", "prod_list_price", "prod_profit_margin"], n,
+                        "total_quantity_sold", ("sales_unit_price", "avg_selling_price"))
+
+
+def _member_groups(dimension: DataFrame, key: str, group: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Two narrow stored tables: member -> group, and the groups with their columns.
+
+    A group is named by the smallest key of its members, so the fact's rows carry one number and no text. The
+    dimension is read once, whatever number of branches use the map.
+    """
+    members = stored(dimension.select(key, *group), "members")
+    groups = stored(members.groupBy(*group).agg(F.min(key).alias("_group")), "groups")
+    named = groups.select("_group", *[F.col(c).alias(f"_g_{c}") for c in group])
+    same = reduce(and_, [members[c].eqNullSafe(named[f"_g_{c}"]) for c in group])
+    return stored(members.join(named, same).select(key, "_group"), "member-groups"), groups
 
 
 def _by_attribute(
@@ -155,13 +187,13 @@ def _by_attribute(
 ) -> DataFrame:
     """Measures and distinct counts per attribute group of a dimension.
 
-    Two branches that read different columns of the fact. Measures are summed per surrogate key
-    before the dimension is joined, so they shrink to one row per member at once. Distinct counts
-    need the single rows, but only key and counted columns. Counting distinct values next to the
-    measures would instead copy every fact row, measures included, once per distinct count.
+    Each branch reads only its own columns of the fact. Measures are summed per surrogate key before they meet the
+    dimension, so they shrink to one row per member at once. A distinct count is taken in two phases: the pairs
+    (group, value) are made distinct, within each task before they are shuffled, then counted. Counting next to the
+    measures, or several distinct counts at a time, would copy every fact row once per count.
     ``members`` names the count of dimension members with sales.
     """
-    attributes = dimension.select(key, *group)
+    to_group, groups = _member_groups(dimension, key, group)
     used = list(dict.fromkeys([c for c, _ in sums.values()] + list(means.values())))
     partial = rows.groupBy(key).agg(
         F.count(F.lit(1)).alias("_lines"),
@@ -174,16 +206,12 @@ def _by_attribute(
         totals.append(F.sum("_lines").alias(lines))
     if members:
         totals.append(F.count(F.lit(1)).alias(members))
-    measured = partial.join(attributes, key).groupBy(*group).agg(*totals)
-
-    counted = (
-        rows.select(key, *[F.col(c) if c != key else F.col(c).alias(f"_{c}") for c in distinct.values()])
-        .join(attributes, key).groupBy(*group)
-        .agg(*[F.count_distinct(c if c != key else f"_{c}").alias(name) for name, c in distinct.items()])
-        .select(*[F.col(c).alias(f"_g_{c}") for c in group], *distinct)
-    )
-    same = reduce(and_, [measured[c].eqNullSafe(counted[f"_g_{c}"]) for c in group])
-    return measured.join(counted, same).drop(*[f"_g_{c}" for c in group])
+    out = partial.join(to_group, key).groupBy("_group").agg(*totals)
+    for name, column in distinct.items():
+        pairs = rows.select(F.col(key), F.col(column).alias("_value")).filter(F.col("_value").isNotNull())
+        pairs = pairs.join(to_group, key).select("_group", "_value").distinct()
+        out = out.join(pairs.groupBy("_group").agg(F.count(F.lit(1)).alias(name)), "_group", "left")
+    return out.join(groups, "_group").drop("_group").fillna(0, list(distinct))
 
 
 QUANTITY = ("sales_order_qty", "bigint")

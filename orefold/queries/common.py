@@ -14,6 +14,7 @@ from orefold.plans import dims
 from orefold.plans.facts import MEASURES
 from orefold.functions import date_key, safe_measure
 from orefold.plans.marts import Star
+from orefold.sinks.files import stored
 from orefold.sources.entities import ENTITIES
 from orefold.sources.sample import SampleSource
 
@@ -107,21 +108,37 @@ def fact(spark, folder) -> DataFrame:
     return fact_amounts(lines.select(*columns, *keys, *measures))
 
 
-class SampleStar:
-    """The star of the last snapshot; a table is only put together when a query asks for it."""
+class StoredStar:
+    """The star of the last snapshot as stored tables. A table is built and written when a query first asks for it, once
+    per application and input folder; from then on it is read, as the marts of a warehouse read the gold layer."""
+
+    _TABLES: dict[tuple[str, str, str], DataFrame] = {}
 
     def __init__(self, spark: SparkSession, folder: str):
         self._spark, self._folder = spark, folder
 
-    fact = property(lambda self: fact(self._spark, self._folder))
-    customer = property(lambda self: customers(self._spark, self._folder))
-    geography = property(lambda self: places(self._spark, self._folder))
-    product = property(lambda self: products(self._spark, self._folder))
-    category = property(lambda self: categories(self._spark, self._folder))
-    calendar = property(lambda self: calendar(self._spark, self._folder))
+    def _table(self, name: str, build) -> DataFrame:
+        key = (self._spark.sparkContext.applicationId, self._folder, name)
+        if key not in self._TABLES:
+            self._TABLES[key] = stored(build(self._spark, self._folder), f"star-{name}")
+        return self._TABLES[key]
+
+    fact = property(lambda self: self._table("fact", fact))
+    customer = property(lambda self: self._table("customer", customers))
+    geography = property(lambda self: self._table("geography", places))
+    product = property(lambda self: self._table("product", products))
+    category = property(lambda self: self._table("category", categories))
+    calendar = property(lambda self: self._table("calendar", calendar))
 
     known = Star.known
 
 
-def star(spark: SparkSession, folder: str) -> SampleStar:
-    return SampleStar(spark, folder)
+def star(spark: SparkSession, folder: str) -> StoredStar:
+    return StoredStar(utc(spark), folder)
+
+
+def rebuilt_star(spark: SparkSession, folder: str) -> StoredStar:
+    """As ``star``, but all tables are built and written again."""
+    for key in [k for k in StoredStar._TABLES if k[:2] == (spark.sparkContext.applicationId, folder)]:
+        del StoredStar._TABLES[key]
+    return star(spark, folder)

@@ -137,8 +137,7 @@ QUERIES = {
     "scd2_hash": lambda spark, folder: hash_history(spark, folder, "customer", 2),
     "scd2_hash_composite": lambda spark, folder: hash_history(spark, folder, "sales_order_detail", 2),
     "scd2_hash_header": lambda spark, folder: hash_history(spark, folder, "sales_order_header", 2),
-    "scd2_hash_product": lambda spark, folder: hash_history(spark, folder, "product", 2).drop(
-        "thumbnail_photo", "thumbnail_photo_file_name"),
+    "scd2_hash_product": lambda spark, folder: hash_history(spark, folder, "product", 2),
     "scd2_hash_three_keys": lambda spark, folder: hash_history(spark, folder, "productmodelproductdescription", 2),
     "scd2_hash_view": category_view_history,
     "scd2_reappear": lambda spark, folder: hash_history(spark, folder, "customer", 3),
@@ -206,7 +205,7 @@ def _all_categories(s: int) -> str:
       FROM ({nodes}) c LEFT JOIN ({nodes}) p ON c.parent_product_category_id = p.product_category_id"""
 
 
-_PRODUCT_HASHED = [c for c in q.PRODUCT_COLUMNS if c not in ("product_id", "rowguid")]
+_PRODUCT_HASHED = [c for c in q.PRODUCT_COLUMNS if c not in ("product_id", "thumbnail_photo", "thumbnail_photo_file_name", "rowguid")]
 _VIEW = [f"""SELECT v.category_id AS product_category_id, v.category_name AS name, c.parent_product_category_id,
     {q.hash_of(['v.parent_name', 'v.category_name'])} AS _tf_row_hash
     FROM ({_all_categories(s)}) v JOIN ({q.category(s)}) c ON c.product_category_id = v.category_id""" for s in (1, 2)]

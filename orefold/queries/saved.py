@@ -53,7 +53,7 @@ def top5_price(spark, folder):
 
 def active_products(spark, folder):
     rows = bronze(spark, folder, "product").filter(F.col("SellEndDate").isNull())
-    return rows.drop("ThumbNailPhoto", "ThumbnailPhotoFileName").orderBy(F.desc("ListPrice"), "ProductID")
+    return rows.orderBy(F.desc("ListPrice"), "ProductID")
 
 
 def total_revenue(spark, folder):
@@ -132,6 +132,7 @@ ORACLE = {
     "q04_active_products": f"""
         SELECT product_id AS "ProductID", name AS "Name", product_number AS "ProductNumber", color AS "Color",
           standard_cost AS "StandardCost", list_price AS "ListPrice", size AS "Size", weight AS "Weight",
+          CAST(NULL AS BLOB) AS "ThumbNailPhoto", CAST(NULL AS VARCHAR) AS "ThumbnailPhotoFileName",
           product_category_id AS "ProductCategoryID", product_model_id AS "ProductModelID",
           sell_start_date AS "SellStartDate", sell_end_date AS "SellEndDate",
           discontinued_date AS "DiscontinuedDate", rowguid, modified_date AS "ModifiedDate"

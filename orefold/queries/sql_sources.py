@@ -50,7 +50,7 @@ CATEGORY_HASHED = ["parent_product_category_id", "name", "modified_date"]
 PRODUCT_COLUMNS = [
     "product_id", "name", "product_number", "color", "standard_cost", "list_price", "size", "weight",
     "product_category_id", "product_model_id", "sell_start_date", "sell_end_date", "discontinued_date",
-    "rowguid", "modified_date",
+    "thumbnail_photo", "thumbnail_photo_file_name", "rowguid", "modified_date",
 ]
 
 
@@ -163,6 +163,7 @@ def product(s: int) -> str:
       TIMESTAMP '2020-01-01 00:00:00' AS sell_start_date,
       CASE WHEN p_type = 'STANDARD' THEN TIMESTAMP '2023-06-30 00:00:00' END AS sell_end_date,
       CASE WHEN p_brand = 'Brand#7' THEN TIMESTAMP '2022-01-01 00:00:00' END AS discontinued_date,
+      CAST(NULL AS BLOB) AS thumbnail_photo, CAST(NULL AS VARCHAR) AS thumbnail_photo_file_name,
       md5(CAST(p_partkey AS VARCHAR)) AS rowguid, CASE WHEN {cheaper} THEN {NEW} ELSE {OLD} END AS modified_date
     FROM part WHERE {members}"""
 

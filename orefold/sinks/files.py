@@ -4,7 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from orefold.session import work_dir
+
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Delimited text with a header, one file per partition."""
     df.write.mode(mode).option("header", True).csv(path)
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Writes ``df`` to the shared work folder and reads it back: computed once, and safe from lost executors."""
+    path = work_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
