@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orefold.ml import features, models, tuning
+from orefold.ml.expression import to_expression
 from orefold.ml.registry import ModelRegistry
 from orefold.queries.common import utc
 from orefold.session import work_dir
@@ -137,7 +138,60 @@ def score_to_csv(spark, folder):
     return read_csv(spark, path, "doc_id string, quality int")
 
 
+def tree_expression(spark, folder):
+    """Every document scored twice, by the fitted pipeline and by the same model as an expression."""
+    rows, model = _tree(spark, folder)
+    scored = models.predict(model, rows, "doc_id", "label", *NUMERIC, *CATEGORICAL)
+    prediction, probability = to_expression(model).columns()
+    return scored.withColumns({"_prediction": prediction, "_probability": probability}).select(
+        "doc_id", "label", F.col("prediction").isin(0.0, 1.0).alias("known_class"),
+        (F.col("prediction") == F.col("_prediction")).alias("same_prediction"),
+        (F.col("probability") == F.col("_probability")).alias("same_probability"),
+        (F.col("probability")[F.col("prediction").cast("int")] == F.array_max("probability")).alias("likeliest_class"))
+
+
+def registered_expression(spark, folder):
+    """A registered model, loaded by name and version, against the one in memory and its expression."""
+    rows, model = _tree(spark, folder)
+    registry = ModelRegistry(spark, work_dir(spark, "models"))
+    version = registry.register("quality_tree", model, rows, models.TREE, {}, {"kind": "decision tree"})
+    loaded = registry.load("quality_tree", version)
+    scored = models.predict(loaded, models.predict(model, rows, "doc_id", *NUMERIC, *CATEGORICAL).withColumnsRenamed(
+        {"prediction": "_before", "probability": "_shares"}), "doc_id", "_before", "_shares", *NUMERIC, *CATEGORICAL)
+    return scored.select(
+        "doc_id", (F.col("prediction") == F.col("_before")).alias("same_prediction"),
+        (F.col("probability") == F.col("_shares")).alias("same_probability"),
+        F.lit(to_expression(loaded) == to_expression(model)).alias("same_expression"))
+
+
+def expression_to_csv(spark, folder):
+    """Scores of the expression written as CSV and read back, against the pipeline's."""
+    rows, model = _tree(spark, folder)
+    path = work_dir(spark, "scores")
+    found = to_expression(model).score(rows, "doc_id").select("doc_id", F.col("prediction").cast("int").alias("quality"))
+    write_csv(found, path)
+    told = models.predict(model, rows, "doc_id")
+    return read_csv(spark, path, "doc_id string, quality int").join(told, "doc_id").select(
+        "doc_id", (F.col("quality") == F.col("prediction")).alias("same_quality"))
+
+
+def importance_checks(spark, folder):
+    """Importances of the fitted tree: one row per slot, not negative, one in sum; slots without a split have none."""
+    rows, model = _tree(spark, folder)
+    found = models.feature_importance(model, rows)
+    slots_used = [s for s in range(found.count()) if f"feature {s} " in models.tree_rules(model)]
+    numbered = found.collect()  # one row per slot of the vector
+    return found.agg(
+        F.count(F.lit(1)).alias("slots"), F.count_if(F.col("importance") < 0).alias("negative"),
+        F.round(F.sum("importance"), 6).alias("total")).withColumn(
+        "unused_with_weight", F.lit(sum(r.importance > 0 for k, r in enumerate(numbered) if k not in slots_used)).cast("bigint"))
+
+
 QUERIES = {
+    "ml_tree_expression": tree_expression,
+    "model_registered_expression": registered_expression,
+    "score_expression_to_csv": expression_to_csv,
+    "ml_importance_checks": importance_checks,
     "ml_cast_flags": cast_flags,
     "ml_impute_mean": impute,
     "ml_string_index": string_index,
@@ -173,6 +227,14 @@ ORACLE = {
         FROM indexed""",
     "ml_split": f"""SELECT doc_id, CASE WHEN CAST('0x' || substr(md5(doc_id || '|42'), 1, 8) AS BIGINT) % 100 < 80
         THEN 'train' ELSE 'test' END AS part FROM ({_DOCS})""",
+    "ml_tree_expression": f"""SELECT doc_id, CAST(quality AS DOUBLE) AS label, TRUE AS known_class, TRUE AS same_prediction,
+        TRUE AS same_probability, TRUE AS likeliest_class FROM ({_DOCS})""",
+    "model_registered_expression": f"""SELECT doc_id, TRUE AS same_prediction, TRUE AS same_probability, TRUE AS same_expression
+        FROM ({_DOCS})""",
+    "score_expression_to_csv": f"SELECT doc_id, TRUE AS same_quality FROM ({_DOCS})",
+    # two numbers, then a slot per value of each category (the shared one for NULL and unseen values is the last, and left out)
+    "ml_importance_checks": f"""SELECT 2 + count(DISTINCT lang) + count(DISTINCT source) + count(DISTINCT toxic) AS slots,
+        CAST(0 AS BIGINT) AS negative, CAST(1 AS DOUBLE) AS total, CAST(0 AS BIGINT) AS unused_with_weight FROM ({_DOCS})""",
     "ml_accuracy": f"""SELECT CAST(sum(CASE WHEN 1 - toxic = quality THEN 1 ELSE 0 END) AS DOUBLE) / count(*) AS accuracy
         FROM ({_DOCS})""",
 }
