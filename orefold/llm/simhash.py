@@ -14,7 +14,6 @@ blocks; of the links there only a spanning forest is kept, which loses no compon
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,9 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orefold.llm.common import arrow_map, check_columns, materialise, partitions, schema, whole_text
+from orefold.llm.common import arrow_map, check_columns, materialise, own_columns, partitions, schema, whole_text
 from orefold.llm.components import components
-from orefold.llm.windows import mix
 
 ALIKE = schema(doc_id=T.LongType(), point=T.LongType())
 _BITS = 31
@@ -53,17 +51,22 @@ def fingerprint(text: str, width: int) -> int:
     return int(np.packbits(2 * total > many, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, width: int = 4) -> DataFrame:
-    """(doc_id, point) of documents (doc_id, text): the 64 bits as a signed number. Null text: no words, 0."""
+def fingerprints(docs: DataFrame, width: int = 4, keyed: bool = False) -> DataFrame:
+    """(doc_id, point) of documents (doc_id, text): the 64 bits as a signed number. Null text: no words, 0.
+    ``keyed`` adds text_key, a digest that equal texts share."""
     check_columns(docs, ["doc_id", "text"])
 
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             points = np.array([fingerprint(t, width) for t in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(points.view(np.int64))], names=ALIKE.names)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(points.view(np.int64)), *batch.columns[2:]], names=[*ALIKE.names, *batch.schema.names[2:]])
 
     rows = docs.select(F.col("doc_id").cast("bigint"), whole_text().alias("text"))
-    return arrow_map(rows, convert, ALIKE)
+    if not keyed:
+        return arrow_map(rows, convert, ALIKE)
+    rows = rows.withColumn("text_key", F.sha2("text", 256))
+    return arrow_map(rows, convert, "doc_id bigint, point bigint, text_key string")
 
 
 # -- anchors ----------------------------------------------------------------------------------------
@@ -192,6 +195,14 @@ def links(points: DataFrame, distance: int = 4) -> DataFrame:
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _rooted(marked: DataFrame, distance: int) -> DataFrame:
+    """(point, first, root) of all distinct points: the smallest doc_id, and a point that names the component."""
+    points = materialise(marked.groupBy("point").agg(F.min("doc_id").alias("first")), "points")
+    joined = components(links(points.select("point"), distance))
+    return points.join(joined.withColumnRenamed("node", "point"), "point", "left").select(
+        "point", "first", F.coalesce("root", "point").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, width: int = 4, distance: int = 4) -> DataFrame:
     """(doc_id, fingerprint, component_id) of documents (doc_id, text).
 
@@ -200,212 +211,26 @@ def near_duplicates(docs: DataFrame, width: int = 4, distance: int = 4) -> DataF
     component has no other; repeated rows are answered as often as they occur; no rows give no rows.
     """
     marked = materialise(fingerprints(docs, width), "fingerprints")
-    points = materialise(marked.groupBy("point").agg(F.min("doc_id").alias("first")), "points")
-    joined = components(links(points.select("point"), distance))
-    named = points.join(joined.withColumnRenamed("node", "point"), "point", "left").select(
-        "point", "first", F.coalesce("root", "point").alias("root"))
+    named = _rooted(marked, distance)
     smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
     # Only points with links need the smallest of others; the rest stand alone.
     result = marked.join(named.join(smallest, "root").select("point", "component_id"), "point")
     return result.select("doc_id", F.lower(F.lpad(F.hex("point"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-# -- texts of a given similarity --------------------------------------------------------------------
-
-#: Fingerprints of 64 bits that stand side by side for one text.
-LANES = 4
-#: Texts meet where all ``ROWS`` least hashes of one of ``BANDS`` bands are equal: of pairs with similarity
-#: 0.8 all but (1 - 0.8**5)**24 = 0.00007 do.
-BANDS, ROWS = 24, 5
-_TURN = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) | np.uint64(1)
-_PLUS = mix(np.arange(1001, BANDS * ROWS + 1001, dtype=np.uint64))
-_LANE_NAMES = [f"f{k}" for k in range(LANES)]
-
-
-def most_bits(similarity: float, lanes: int = LANES) -> int:
-    """Bits in which ``lanes`` fingerprints of texts with this Jaccard similarity of shingles differ at most.
-
-    Equal-sized sets of similarity s have the cosine 2s / (1 + s), others a higher one, and each bit differs
-    with the angle's share of pi; five standard errors are added, so that a test loses next to no pair.
-    """
-    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    many = 64 * lanes
-    return int(share * many + 5 * math.sqrt(many * share * (1 - share)))
-
-
-def shingles(text: str, width: int) -> np.ndarray:
-    """Sorted distinct hashes of all ``width``-word shingles; a shorter text is one shingle, no words are none."""
-    import xxhash
-
-    found = words(text)
-    many = max(1, len(found) - width + 1) if found else 0
-    digest = xxhash.xxh64_intdigest
-    return np.unique(np.fromiter((digest(b" ".join(found[k: k + width])) for k in range(many)), np.uint64, many))
-
-
-def wide_fingerprint(hashes: np.ndarray, lanes: int = LANES) -> np.ndarray:
-    if not len(hashes):
-        return np.zeros(lanes, np.uint64)
-    total = np.zeros(64 * lanes, np.int64)
-    for at in range(0, len(hashes), 1 << 14):
-        part = hashes[at: at + (1 << 14)]
-        each = np.stack([mix(part + np.uint64(k)) for k in range(lanes)], 1).astype("<u8")
-        total += np.unpackbits(each.view(np.uint8).reshape(len(part), -1), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return np.packbits(2 * total > len(hashes), bitorder="little").view("<u8")
-
-
-def meeting_keys(hashes: np.ndarray) -> np.ndarray:
-    """One key for each band, made of its least hashes."""
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(hashes), 1 << 12):
-        part = hashes[at: at + (1 << 12), None]
-        least = np.minimum(least, ((part ^ _PLUS) * _TURN).min(axis=0))
-    keys = np.arange(BANDS, dtype=np.uint64)
-    for row in least.reshape(BANDS, ROWS).T:
-        keys = mix(keys ^ row)
-    return keys
-
-
-def _apart(lanes: np.ndarray, sizes: np.ndarray, at: np.ndarray, similarity: float) -> np.ndarray:
-    """Differing bits of the texts ``at`` and all others; more than there are where the sizes rule a link out."""
-    bits = np.bitwise_count(lanes[at, None, :] ^ lanes[None, :, :]).sum(axis=2, dtype=np.int64)
-    low, high = np.minimum(sizes[at, None], sizes[None, :]), np.maximum(sizes[at, None], sizes[None, :])
-    return np.where(low >= similarity * high - 1e-6, bits, 64 * LANES + 1)
-
-
-def nearest_tree(lanes: np.ndarray, sizes: np.ndarray, limit: int, similarity: float) -> list[tuple[int, int]]:
-    """Links of a least spanning forest of texts that differ in ``limit`` bits or fewer."""
-    out, left = [], np.ones(len(sizes), bool)
-    best, source, now = np.full(len(sizes), 64 * LANES + 1), np.zeros(len(sizes), np.int64), 0
-    for _ in range(len(sizes) - 1):
-        left[now] = False
-        bits = _apart(lanes, sizes, np.array([now]), similarity)[0]
-        nearer = left & (bits < best)
-        best[nearer], source[nearer] = bits[nearer], now
-        now = int(np.argmin(np.where(left, best, 64 * LANES + 2)))
-        if best[now] <= limit:
-            out.append((int(source[now]), now))
-    return out
-
-
-def _candidates(texts: DataFrame, limit: int, similarity: float, every: bool) -> DataFrame:
-    """Pairs (a, b) of texts (id, root, size, lanes, bands) with unlike roots that share a band and differ in
-    ``limit`` bits or fewer: ``every`` such pair, or for a start a least spanning forest of them in each band."""
-    placed = texts.select(F.explode("bands").alias("band"), "id", "root", "size", *_LANE_NAMES)
-    placed = placed.repartition(partitions(texts.sparkSession), "band").sortWithinPartitions("band", "id")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
-
-        for keys, ids, roots, sizes, *lanes in whole_keys(batches):
-            wide = np.stack([x.view(np.uint64) for x in lanes], 1)
-            starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-            many = np.diff(np.append(starts, len(keys)))
-            two = starts[many == 2]
-            bits = np.bitwise_count(wide[two] ^ wide[two + 1]).sum(axis=1, dtype=np.int64)
-            low, high = np.minimum(sizes[two], sizes[two + 1]), np.maximum(sizes[two], sizes[two + 1])
-            two = two[(bits <= limit) & (low >= similarity * high - 1e-6) & (roots[two] != roots[two + 1])]
-            yield rows(ids[two], ids[two + 1])
-            for start, size in zip(starts[many > 2].tolist(), many[many > 2].tolist()):
-                part = slice(start, start + size)
-                number, root = ids[part], roots[part]
-                if (root == root[0]).all():
-                    continue
-                if every:
-                    for first in range(0, size, 64):
-                        block = np.arange(first, min(first + 64, size))
-                        hit = (_apart(wide[part], sizes[part], block, similarity) <= limit) & (root[block, None] != root[None, :])
-                        a, b = np.nonzero(hit & (np.arange(size)[None, :] > block[:, None]))
-                        yield rows(number[block[a]], number[b])
-                    continue
-                for first in range(0, size, 4032):  # blocks share 64 texts
-                    block = slice(start + first, min(start + first + 4096, start + size))
-                    pairs = np.array(nearest_tree(wide[block], sizes[block], limit, similarity), np.int64).reshape(-1, 2)
-                    yield rows(ids[block][pairs[:, 0]], ids[block][pairs[:, 1]])
-
-    return arrow_map(placed, compare, "a bigint, b bigint").distinct()
-
-
-def _alike(pairs: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
-    """Those of the ``pairs`` (a, b) of text numbers whose shingles have the Jaccard similarity, by their full sets."""
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [shingles(t, width).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["id", "set"])
-
-    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            take = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                one, other = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(one, other, assume_unique=True))
-                union = len(one) + len(other) - both
-                take.append(not union or both / union >= similarity)
-            yield batch.select(["a", "b"]).filter(pa.array(take, pa.bool_()))
-
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = docs.select(F.xxhash64(F.sha2(whole_text(), 256)).alias("id"), whole_text().alias("text"))
-    texts = texts.join(wanted, "id", "left_semi").groupBy("id").agg(F.any_value("text").alias("text"))
-    known = materialise(arrow_map(texts, sets, "id bigint, set binary"), "shingles")
-    side = lambda name: known.select(F.col("id").alias(name), F.col("set").alias(f"set_{name}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b")
-    return arrow_map(both, test, "a bigint, b bigint")
-
-
-def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
-    """(doc_id, text_key, component_id, root) of documents (doc_id, text): groups of texts that links join, which
-    are pairs with a Jaccard similarity of ``similarity`` or more of their shingles. root names the group.
-
-    Texts that share a band of least hashes and whose fingerprints differ in ``most_bits`` or fewer are
-    candidates, and their full shingle sets decide. A first round tries the nearest candidates only, which joins
-    most of each group; a second one tries every candidate pair that is not joined yet, so none is passed
-    over. Copies are one text. Null text: no words; texts without words are alike.
-    """
-    check_columns(docs, ["doc_id", "text"])
-    limit = most_bits(similarity)
-
-    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [shingles(t, width) for t in batch.column(2).to_pylist()]
-            lanes = np.array([wide_fingerprint(x) for x in found], np.uint64).reshape(-1, LANES)
-            bands = [meeting_keys(x).view(np.int64) for x in found]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([len(x) for x in found], pa.int64()),
-                 pa.array(bands, pa.list_(pa.int64())), *[pa.array(lanes[:, k].view(np.int64)) for k in range(LANES)]],
-                names=["doc_id", "text_key", "size", "bands", *_LANE_NAMES])
-
-    rows = docs.select(F.col("doc_id").cast("bigint"), F.sha2(whole_text(), 256).alias("text_key"), whole_text().alias("text"))
-    kinds = ", ".join(f"{name} bigint" for name in _LANE_NAMES)
-    marked = materialise(arrow_map(rows, look, f"doc_id bigint, text_key string, size bigint, bands array<bigint>, {kinds}"),
-                         "wide-fingerprints")
-    # Texts are known by a number that follows from their key.
-    texts = marked.groupBy("text_key").agg(
-        F.min("doc_id").alias("first"), *[F.any_value(c).alias(c) for c in ("size", "bands", *_LANE_NAMES)])
-    texts = materialise(texts.withColumn("id", F.xxhash64("text_key")), "texts")
-    start = materialise(_candidates(texts.withColumn("root", F.col("id")), limit, similarity, False), "nearest")
-    joined = components(_alike(start, docs, width, similarity)).withColumnRenamed("node", "id")
-    rooted = materialise(texts.join(joined, "id", "left").withColumn("root", F.coalesce("root", "id")), "rooted")
-    rest = materialise(_candidates(rooted, limit, similarity, True), "rest")
-    named = rooted.select("id", "text_key", "first", "root")
-    more = materialise(_alike(rest, docs, width, similarity), "more")
-    if not more.isEmpty():
-        side = lambda name: named.select(F.col("id").alias(name), F.col("root").alias(f"root_{name}"))
-        between = more.join(side("a"), "a").join(side("b"), "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
-        joined = components(between).select(F.col("node").alias("root"), F.col("root").alias("last"))
-        named = named.join(joined, "root", "left").select("text_key", "first", F.coalesce("last", "root").alias("root"))
-    smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    return marked.select("doc_id", "text_key").join(
-        named.join(smallest, "root").select("text_key", "component_id", "root"), "text_key")
+# -- one document of each group ----------------------------------------------------------------------
 
 
-def keep_one(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
-    """``docs`` with one document of each group of similar texts: the one with the smallest doc_id.
+@own_columns
+def keep_one(docs: DataFrame, width: int = 4, distance: int = 4) -> DataFrame:
+    """``docs`` with one document of each component of ``near_duplicates``: the one with the smallest doc_id.
 
     A row with a null doc_id stays only if its group has no other; of repeated rows one stays.
     """
     names = docs.columns
-    groups = materialise(similar_groups(docs, width, similarity), "groups")
+    marked = materialise(fingerprints(docs, width, keyed=True), "fingerprints")
+    groups = materialise(marked.join(_rooted(marked, distance).select("point", "root"), "point").select(
+        "doc_id", "text_key", "root"), "groups")
     # A row is known by doc_id and text. Texts of one doc_id may be in unlike groups, so groups go by their root.
     row = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")
     known = groups.groupBy("root", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("n"))
