@@ -6,6 +6,7 @@ import os
 import tempfile
 import zipfile
 from collections.abc import Callable, Sequence
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,8 @@ from orefold.session import work_dir
 
 #: A word is a run of characters other than the six ASCII white-space characters (fixed value).
 WORD = r"[^\x20\x09-\x0D]+"
+#: Columns of the table ``documents``.
+DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
 SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -27,6 +30,18 @@ def only(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{n}`") for n in names])
 
 
+def own_columns(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """For functions that return the columns of the documents they get: columns beside those of the table
+    ``documents`` have other names meanwhile, so theirs may clash with any name inside, or hold dots."""
+    @wraps(stage)
+    def run(docs: DataFrame, *args, **options) -> DataFrame:
+        names = docs.columns
+        hidden = [c if c in DOCUMENT else f"__own_{k}" for k, c in enumerate(names)]
+        found = stage(docs.toDF(*hidden), *args, **options)
+        return found.select(*[F.col(c) for c in hidden]).toDF(*names)
+    return run
+
+
 def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(f"`{column}`").cast("string"), F.lit(""))
 
@@ -99,6 +114,13 @@ def ship(spark: SparkSession) -> None:
 
 
 def arrow_map(df: DataFrame, function: Callable, result) -> DataFrame:
-    """``mapInArrow`` with functions of this package."""
+    """``mapInArrow`` with functions of this package, for any column names."""
     ship(df.sparkSession)
-    return df.mapInArrow(function, result)
+    names = df.columns
+    if not any("." in n or "`" in n for n in names):
+        return df.mapInArrow(function, result)
+
+    def renamed(batches):
+        return function(batch.rename_columns(names) for batch in batches)
+
+    return df.toDF(*[f"column_{k}" for k in range(len(names))]).mapInArrow(renamed, result)

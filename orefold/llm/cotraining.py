@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orefold.llm.common import arrow_map, check_columns
+from orefold.llm.common import arrow_map, check_columns, own_columns
 from orefold.llm.common import field as column
 from orefold.llm.common import whole_text
 
@@ -165,6 +165,10 @@ def calibrate(z: np.ndarray, labels: np.ndarray) -> tuple[float, ...]:
     return (*np.maximum(w[:-1] / scale, 0.0).tolist(), float(w[-1]))
 
 
+class NoModel(ValueError):
+    """The labels do not tell good documents from bad ones."""
+
+
 @dataclass
 class Model:
     """Weights of both views and the calibrations; the score is the chance that a document is good."""
@@ -186,7 +190,7 @@ def co_train(content_rows: Rows, metadata_rows: Rows, labels: np.ndarray, rounds
     known = np.flatnonzero(labels >= 0)
     held, learn = known[::5], known[np.arange(len(known)) % 5 > 0]
     if len(set(labels[learn])) < 2 or len(set(labels[held])) < 2:
-        raise ValueError("both good and bad labelled documents are needed")
+        raise NoModel("both good and bad labelled documents are needed")
     pool = np.flatnonzero(labels < 0)
     views = [(content_rows, WORD_DIMS, 4), (metadata_rows, META_DIMS, 2)]
     given = [{int(k): float(labels[k]) for k in learn} for _ in views]
@@ -240,9 +244,9 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = 3) -> Model:
     check_columns(labels, ["doc_id", "quality", "toxic"])
     marks = labels.groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(
         F.min((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).alias("good"))
-    rows = _plain(docs).join(marks, "doc_id", "left")
     order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("text")]
-    narrow = rows.select("doc_id", "good", F.xxhash64("text").alias("text"))
+    # Texts are hashed before they meet the labels: none is shuffled.
+    narrow = _plain(docs).select("doc_id", F.xxhash64("text").alias("text")).join(marks, "doc_id", "left")
     # Which rows to learn from is decided on narrow rows; at most LABELLED + POOL ids follow.
     chosen = narrow.where("good is not null").orderBy(*order).limit(LABELLED).unionByName(
         narrow.where("good is null").orderBy(*order).limit(POOL)).select("doc_id", "text", "good").distinct()
@@ -308,10 +312,22 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
     return arrow_map(rows, judge, T.StructType([*rows.schema.fields, *[column(n, k) for n, k in zip(new, kinds)]]))
 
 
+SCORES = {"content_score": "double", "metadata_score": "double", "score": "double", "kept": "boolean"}
+
+
 def classify(docs: DataFrame, labels: DataFrame, rounds: int = 3, threshold: float = 0.5) -> DataFrame:
     """Learns from the labelled documents and scores all. Null text is empty; repeated rows are scored as
-    often as they occur; an empty table gives an empty result; with labels of one class only it raises."""
-    if docs.isEmpty():
-        new = {"content_score": "double", "metadata_score": "double", "score": "double", "kept": "boolean"}
-        return docs.withColumns({n: F.lit(None).cast(k) for n, k in new.items()})
-    return score(docs, train(docs, labels, rounds), threshold)
+    often as they occur; an empty table gives an empty result. Without labels of both classes nothing can be
+    learned: all scores are null and all rows are kept."""
+    if not docs.isEmpty():
+        try:
+            return score(docs, train(docs, labels, rounds), threshold)
+        except NoModel:
+            pass
+    return docs.drop(*SCORES).withColumns({n: F.lit(n == "kept" or None).cast(k) for n, k in SCORES.items()})
+
+
+@own_columns
+def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` that ``classify`` keeps, with their own columns, whatever these are called."""
+    return classify(docs, labels, **options).where("kept").select(*docs.columns)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orefold.llm import windows
-from orefold.llm.common import arrow_map, check_columns, free_shuffles, materialise, whole_text
+from orefold.llm.common import arrow_map, check_columns, free_shuffles, materialise, own_columns, whole_text
 
 GRAM = 5
 _PLACE = 21
@@ -307,6 +307,7 @@ def remove_repeats(docs: DataFrame, width: int = 13, with_text: bool = False) ->
         F.when(whole, F.array(span)).otherwise(F.coalesce("spans", empty)).alias("spans"), "text_sha", *text)
 
 
+@own_columns
 def rewrite(docs: DataFrame, width: int = 13) -> DataFrame:
     """``docs`` with the repeats cut out of ``text``, and ``n_chars``, if there is one, counted again. Texts without
     repeats stay as they are; rows stay, even those with no words left."""

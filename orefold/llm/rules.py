@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orefold.llm.common import SPACE, check_columns, materialise, whole_text
+from orefold.llm.common import check_columns, materialise, own_columns, SPACE, whole_text
 
 #: White space that separates words, and the symbols counted (fixed values).
 BLANKS = " \t\n\x0b\x0c\r"
@@ -217,6 +217,7 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
         "kept", ~F.col("base_failed") & (F.col("rule") == 0))
 
 
+@own_columns
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the rows that ``judge`` rejects, with all their columns. The statistics of the rows are
     taken twice, to learn and to judge, rather than stored with the texts."""
