@@ -19,7 +19,7 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that the co-trained classifier takes for bad or toxic."""
-    return cotraining.classify(docs, _labels(spark, sf_dir)).where("kept").select(*docs.columns)
+    return cotraining.keep_good(docs, _labels(spark, sf_dir))
 
 
 def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
