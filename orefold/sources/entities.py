@@ -41,6 +41,12 @@ class Entity:
     def source_schema(self) -> str:
         return ", ".join(f"{name} {kind}" for name, kind in self.source_columns)
 
+    @property
+    def partition_column(self) -> str | None:
+        """The leading key, if it is a whole number: a source table is read in ranges of it."""
+        kind = dict(self.source_columns)[self.keys[0]]
+        return self.keys[0] if kind in ("smallint", "int", "bigint") else None
+
     def silver_name(self, column: str) -> str:
         return self.renames.get(column, snake_case(column))
 

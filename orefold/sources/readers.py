@@ -7,6 +7,11 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from orefold.sinks.files import stored
+from orefold.sources.entities import Entity
 
 
 @dataclass(frozen=True)
@@ -63,6 +68,21 @@ def read_jdbc(spark: SparkSession, source: JdbcSource, table: str, **how) -> Dat
     return spark.read.format("jdbc").options(**source.read_options(table, **how)).load()
 
 
+def extract_jdbc(spark: SparkSession, source: JdbcSource, entity: Entity, table: str, partitions: int | None = None) -> DataFrame:
+    """A whole source table in parallel ranges of the entity's leading key, as many as the session has task slots.
+
+    The bounds are computed inside the database; they only divide the work, so rows outside them, or with a
+    NULL, are read too. An entity with a text key, and an empty table, are read in one piece. Land the result (a
+    bronze refresh writes it) before comparing, so that the database is read once.
+    """
+    column = entity.partition_column
+    bounds = jdbc_bounds(spark, source, table, column) if column else (None, None)
+    if bounds[0] is None:
+        return read_jdbc(spark, source, table)
+    partitions = partitions or spark.sparkContext.defaultParallelism
+    return read_jdbc(spark, source, table, partition_column=column, bounds=bounds, partitions=partitions)
+
+
 def jdbc_bounds(spark: SparkSession, source: JdbcSource, table: str, column: str) -> tuple[object, object]:
     """Smallest and largest key, computed inside the database."""
     query = f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}"
@@ -85,6 +105,24 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: str | None
     return reader.csv(path)
 
 
+CORRUPT = "_corrupt_record"
+
+
+def read_csv_checked(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | None = None) -> tuple[DataFrame, DataFrame]:
+    """Delimited text with a header as (rows, rejects): lines that do not fit the columns go to ``rejects``, a table of
+    its own in the work folder, as they are.
+
+    Types are inferred over all lines when no schema is given. Every column is read, since a line is only checked as
+    far as its columns are.
+    """
+    found = schema or spark.read.option("header", True).option("inferSchema", True).csv(path).schema
+    checked = T.StructType([*found.fields, T.StructField(CORRUPT, T.StringType())])
+    lines = (spark.read.option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+             .option("columnPruning", False).schema(checked).csv(path))
+    rejects = stored(lines.filter(F.col(CORRUPT).isNotNull()), "rejects")
+    return lines.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), rejects.select(CORRUPT)
+
+
 def read_parquet(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 

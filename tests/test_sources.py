@@ -80,3 +80,31 @@ def test_queries_agree_with_sql(spark, sample, name):
     assert sorted(columns) == sorted(df.columns)
     expected = sorted((tuple(map(check.normal, r)) for r in cursor.fetchall()), key=str)
     assert sorted((tuple(map(check.normal, r)) for r in df.select(*columns).collect()), key=str) == expected
+
+
+def test_entities_are_read_in_ranges_of_their_leading_key(spark, monkeypatch):
+    from orefold.sources import readers
+    asked = []
+    monkeypatch.setattr(readers, "jdbc_bounds", lambda *a: (1, 900))
+    monkeypatch.setattr(readers, "read_jdbc", lambda spark, source, table, **how: asked.append(source.read_options(table, **how)))
+    source = readers.JdbcSource("jdbc:x:y")
+    readers.extract_jdbc(spark, source, ENTITIES["sales_order_detail"], "s.t", 9)
+    assert {k: asked[-1][k] for k in ("partitionColumn", "lowerBound", "upperBound", "numPartitions")} == {
+        "partitionColumn": "SalesOrderID", "lowerBound": "1", "upperBound": "900", "numPartitions": "9"}
+    readers.extract_jdbc(spark, source, ENTITIES["customer"], "s.t")
+    assert asked[-1]["numPartitions"] == str(spark.sparkContext.defaultParallelism)
+    monkeypatch.setattr(readers, "jdbc_bounds", lambda *a: (None, None))  # an empty table
+    readers.extract_jdbc(spark, source, ENTITIES["customer"], "s.t")
+    assert "partitionColumn" not in asked[-1]
+    assert all(e.partition_column == e.keys[0] for e in ENTITIES.values())
+
+
+def test_views_are_masked_when_they_are_read(spark, lake):
+    from orefold.plans import views
+    lake.replace("gold", "dim_customer", spark.createDataFrame([(1, "Ann")], "k int, cust_phone string"))
+    user = spark.sql("SELECT current_user()").first()[0]
+    views.set_members(lake, [("admins", user + "x"), ("others", user)])
+    views.create_masked_view(lake, "seen_by_others", masked=["cust_phone"])
+    views.create_masked_view(lake, "seen_by_group", masked=["cust_phone"], group="others")
+    assert views.read_view(lake, "seen_by_others").collect() == [(1, "***MASKED***")]
+    assert views.read_view(lake, "seen_by_group").collect() == [(1, "Ann")]
