@@ -1,6 +1,7 @@
 """Token-id files: canonical length-limited Huffman codes from global counts.
 
-A file holds one key range of documents in ascending order:
+Texts are tokenised once, into plain files of ids by ranges of doc_id; the counts of all of them give the code, and
+each plain file becomes a coded one. A file holds one key range of documents in ascending order:
 
     magic, header (JSON: counts, block size, longest code), code lengths of all ids (zlib),
     document ids and token counts, bit offsets of the blocks, code words (big-endian, 32-bit)
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orefold.llm import tokens
-from orefold.llm.common import arrow_map, check_columns, partitions, schema, whole_text
+from orefold.llm.common import arrow_map, check_columns, free_shuffles, partitions, schema, whole_text
 from orefold.session import work_dir
 
 MAGIC = b"OREHUFF1"
@@ -34,6 +35,9 @@ BLOCK = 1024
 LONGEST = 18
 #: Ids encoded at once, to bound memory; each such slice starts a new block.
 SLICE = BLOCK << 9
+#: Ids after which a task starts a new file, which bounds memory and the size of a file; files of one task at most.
+FILE = 1 << 24
+FILES = 1 << 20
 RESULT = schema(file=T.LongType(), doc_id=T.LongType(), start=T.LongType(), n_tokens=T.LongType(),
                 ids_crc32=T.LongType())
 
@@ -138,6 +142,28 @@ def pack_file(doc_ids: list[int | None], sizes: list[int], ids: np.ndarray, leng
                      marks.astype("<i8").tobytes(), payload])
 
 
+def pack_plain(doc_ids: list[int | None], sizes: list[int], ids: np.ndarray) -> bytes:
+    """Ids before the counts of all of them are known, each place of their bytes compressed apart; for ``unpack_plain``."""
+    places = ids.view(np.uint8).reshape(-1, ids.itemsize).T.tobytes()
+    head = json.dumps({"docs": len(doc_ids), "kind": ids.dtype.str,
+                       "nulls": [k for k, d in enumerate(doc_ids) if d is None]}).encode()
+    return b"".join([struct.pack("<I", len(head)), head, np.array([d or 0 for d in doc_ids], "<i8").tobytes(),
+                     np.array(sizes, "<i8").tobytes(), pa.compress(places, "zstd", asbytes=True)])
+
+
+def unpack_plain(content: bytes) -> tuple[list[int | None], list[int], np.ndarray]:
+    at = 4 + struct.unpack_from("<I", content)[0]
+    head = json.loads(content[4: at])
+    many = head["docs"]
+    docs = np.frombuffer(content, "<i8", many, at).tolist()
+    for k in head["nulls"]:
+        docs[k] = None
+    sizes = np.frombuffer(content, "<i8", many, at + 8 * many).tolist()
+    kind, total = np.dtype(head["kind"]), sum(sizes)
+    places = pa.decompress(memoryview(content)[at + 16 * many:], kind.itemsize * total, "zstd", asbytes=True)
+    return docs, sizes, np.frombuffer(places, np.uint8).reshape(kind.itemsize, total).T.copy().view(kind).reshape(-1)
+
+
 def unpack_file(content: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     """Document ids, their token counts, and all token ids."""
     if content[: len(MAGIC)] != MAGIC:
@@ -160,73 +186,106 @@ def unpack_file(content: bytes) -> tuple[list[int | None], np.ndarray, np.ndarra
     return docs, sizes, decode(content[at:], marks, head["tokens"], lengths, head["longest"])
 
 
-def token_counts(docs: DataFrame, tokenizer: str, end_id: int) -> np.ndarray:
-    """How often each id occurs in all documents; one row for each id and task is shuffled."""
+def _put(store, path: str, content: bytes) -> None:
+    """Writes a file under a name of its own first, so that a repeated task replaces it whole."""
+    folder, name = os.path.split(path)
+    store.create_dir(folder, recursive=True)
+    new = os.path.join(folder, f".{name}-{uuid.uuid4().hex}")
+    with store.open_output_stream(new) as stream:
+        stream.write(content)
+    store.move(new, path)
+
+
+def tokenise(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Puts the ids of all documents into plain files in ascending doc_id order (null first; ties by text, digest first).
+
+    Returns how often each id occurs, and (file, tokens). The digest lets a doc_id of many rows, or null, reach over
+    several tasks. A task starts a new file after FILE ids. One row for each id and task, and for each file, is shuffled.
+    """
+    many = partitions(docs.sparkSession)
+    end = np.array([end_id], "<u4").tobytes()
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        words, task = tokens.load(tokenizer, spaced=True), TaskContext.get().partitionId()
+        store, path = fs.FileSystem.from_uri(folder)
+        kind = "<u2" if words.library.get_vocab_size() <= 1 << 16 and end_id < 1 << 16 else "<u4"
+        total, files = np.zeros(end_id + 1, np.int64), []
+        doc_ids, sizes, parts, held = [], [], [], 0
+
+        def flush() -> None:
+            nonlocal total, doc_ids, sizes, parts, held
+            ids = np.concatenate(parts)
+            n = np.bincount(ids, minlength=len(total))
+            n[: len(total)] += total
+            number = task * FILES + len(files)
+            if len(files) == FILES:
+                raise ValueError("a task has too many files; raise the number of shuffle partitions")
+            _put(store, os.path.join(path, f"{number:012d}.plain"), pack_plain(doc_ids, sizes, ids))
+            files.append((number, held))
+            total, doc_ids, sizes, parts, held = n, [], [], [], 0
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, total, seen = tokens.load(tokenizer, spaced=True), np.zeros(1 << 16, np.int64), 0
         for batch in batches:
-            part, held = [], 0
-            for text in batch.column(0).to_pylist() + [None]:
-                if text is None or held > 1 << 24:
-                    n = np.bincount(np.frombuffer(b"".join(part), "<u4"), minlength=len(total))
-                    n[: len(total)] += total
-                    total, part, held = n, [], 0
-                if text is not None:
-                    part.append(words.encode(text))
-                    held += len(part[-1])
-            seen += batch.num_rows
-        if seen:
-            total = np.pad(total, (0, max(0, end_id + 1 - len(total))))
-            total[end_id] += seen
-            used = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["id", "n"])
-
-    rows = arrow_map(docs.select(whole_text().alias("text")), count, "id bigint, n bigint")
-    found = rows.groupBy("id").agg(F.sum("n").alias("n")).collect()  # at most one row for each id of the vocabulary
-    out = np.zeros(max([r[0] for r in found], default=0) + 1, np.int64)
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                part = np.frombuffer(words.encode(text) + end, "<u4").astype(kind)
+                parts.append(part)
+                doc_ids.append(doc_id)
+                sizes.append(len(part))
+                held += len(part)
+                if held >= FILE:
+                    flush()
+        if parts:
+            flush()
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([
+            pa.array([*[f for f, _ in files], *[None] * len(used)], pa.int64()),
+            pa.array([*[None] * len(files), *used.tolist()], pa.int64()),
+            pa.array([*[n for _, n in files], *total[used].tolist()], pa.int64())], names=["file", "id", "n"])
+
+    texts = docs.select(F.col("doc_id").cast("bigint"), whole_text().alias("text")).withColumn("h", F.xxhash64("text"))
+    ordered = texts.repartitionByRange(many, "doc_id", "h").sortWithinPartitions("doc_id", "h", "text")
+    rows = arrow_map(ordered.select("doc_id", "text"), write, "file bigint, id bigint, n bigint")
+    # At most one row for each id of the vocabulary and for each file reaches the driver.
+    found = rows.groupBy("file", "id").agg(F.sum("n").alias("n")).collect()
+    counts = np.zeros(max([r["id"] for r in found if r["file"] is None], default=0) + 1, np.int64)
     for r in found:
-        out[r[0]] = r[1]
-    return out
+        if r["file"] is None:
+            counts[r["id"]] = r["n"]
+    return counts, sorted((r["file"], r["n"]) for r in found if r["file"] is not None)
 
 
 def write_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0) -> list[tuple[int, int]]:
-    """Writes all documents in ascending doc_id order (null first; ties by text); returns (file, tokens).
+    """Writes all documents in ascending doc_id order (null first; ties by text, digest first); returns (file, tokens).
 
-    A task writes one file, under a name of its own first, so a repeated task replaces it whole.
+    Texts are tokenised once, in order, into plain files that a second pass codes one by one.
     """
     check_columns(docs, ["doc_id", "text"])
-    lengths = code_lengths(token_counts(docs, tokenizer, end_id))
-    sent = docs.sparkSession.sparkContext.broadcast(lengths)  # one byte for each id of the vocabulary
-    end = np.array([end_id], "<u4").tobytes()
+    spark = docs.sparkSession
+    plain = work_dir(spark, "token-ids")
+    counts, files = tokenise(docs, plain, tokenizer, end_id)
+    free_shuffles(spark)
+    if not files:
+        return files
+    sent = spark.sparkContext.broadcast(code_lengths(counts))  # one byte for each id of the vocabulary
 
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
-        words, number = tokens.load(tokenizer, spaced=True), TaskContext.get().partitionId()
-        doc_ids, sizes, parts = [], [], []
+        store, path = fs.FileSystem.from_uri(folder)
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                part = words.encode(text) + end
-                # Ids of 16 bits are held as such until the file is complete.
-                parts.append(np.frombuffer(part, "<u4").astype(np.uint16 if len(sent.value) <= 1 << 16 else np.uint32))
-                doc_ids.append(doc_id)
-                sizes.append(len(part) // 4)
-        if doc_ids:
-            ids = np.concatenate(parts)
-            parts.clear()
-            store, path = fs.FileSystem.from_uri(folder)
-            store.create_dir(path, recursive=True)
-            new = os.path.join(path, f".{number:06d}-{uuid.uuid4().hex}")
-            with store.open_output_stream(new) as stream:
-                stream.write(pack_file(doc_ids, sizes, ids, sent.value))
-            store.move(new, os.path.join(path, f"{number:06d}.ids"))
-            yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([len(ids)])], names=["file", "tokens"])
-
-    texts = docs.select(F.col("doc_id").cast("bigint"), whole_text().alias("text"))
-    ordered = texts.repartitionByRange(partitions(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id", "text")
-    written = arrow_map(ordered, write, "file bigint, tokens bigint").collect()  # one row for each file
-    return sorted((r[0], r[1]) for r in written)
+            done = 0
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                name = os.path.basename(name).removesuffix(".plain") + ".ids"
+                _put(store, os.path.join(path, name), pack_file(*unpack_plain(content), sent.value))
+                done += 1
+            yield pa.RecordBatch.from_arrays([pa.array([done], pa.int64())], names=["n"])
+
+    stored = spark.read.format("binaryFile").option("pathGlobFilter", "*.plain").load(plain).select("path", "content")
+    coded = arrow_map(stored, code, "n bigint").agg(F.sum("n")).first()[0]
+    if coded != len(files):
+        raise ValueError(f"{coded} of {len(files)} files were coded")
+    return files
 
 
 def read_files(spark, folder: str, files: list[tuple[int, int]]) -> DataFrame:

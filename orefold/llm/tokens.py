@@ -30,6 +30,8 @@ class _Odd(Exception):
 class WordIds(dict):
     """Word -> its ids as little-endian unsigned 32-bit bytes."""
 
+    most = REMEMBERED
+
     def __init__(self, path: str):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -38,12 +40,14 @@ class WordIds(dict):
         self.library = Tokenizer.from_file(path)
         self.merge = self.library.model.tokenize
         self.marks: dict[str, bytes] = {"": b""}
-        self.visible = _visible_bytes()
+        shown = _visible_bytes()
+        # Words that get here have no characters beyond the first 256.
+        self.visible = {c: "".join(shown.get(b, chr(b)) for b in chr(c).encode()) for c in range(256)}
 
     def merged(self, letters: str) -> bytes:
         """Ids of one word, given as it leaves the normaliser."""
         if not letters.isascii() or " " in letters:
-            letters = letters.encode().decode("latin-1").translate(self.visible)
+            letters = letters.translate(self.visible)
         ids = [t.id for t in self.merge(letters)]
         return _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else np.array(ids, "<u4").tobytes()
 
@@ -69,7 +73,7 @@ class WordIds(dict):
         raise NotImplementedError
 
     def _remember(self, word: str, ids: bytes) -> bytes:
-        if len(self) < REMEMBERED:
+        if len(self) < self.most:
             self[word] = ids
         return ids
 
@@ -94,6 +98,8 @@ class SpacedIds(WordIds):
     character, so a word that starts with white space is left to the library.
     """
 
+    most = 1_100_000
+
     def __missing__(self, word: str) -> bytes:
         if not word or word[0].isspace():
             raise _Odd

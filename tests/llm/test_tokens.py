@@ -89,6 +89,18 @@ def test_token_files(odd, docs):
     assert huffman.round_trip(docs(), BYTE).count() == 0
 
 
+def test_token_files_of_bounded_size(docs, monkeypatch, tmp_path):
+    """Files end after a number of ids; documents of one id, or of none, may lie in several tasks."""
+    texts = docs(*[(k // 9 if k % 5 else None, f"word {k} " * (k % 7)) for k in range(120)])
+    whole = sorted((tuple(r)[1:] for r in huffman.round_trip(texts, BYTE).collect()), key=str)
+    monkeypatch.setattr(huffman, "FILE", 30)
+    found = huffman.round_trip(texts, BYTE, folder=f"file:{tmp_path}/ids").collect()
+    assert sorted((tuple(r)[1:] for r in found), key=str) == whole and len({r.file for r in found}) > 20
+    ids = np.array([5, 0, 70_000, 9], np.uint32)
+    doc_ids, sizes, back = huffman.unpack_plain(huffman.pack_plain([None, 3, 2], [3, 0, 1], ids))
+    assert doc_ids == [None, 3, 2] and sizes == [3, 0, 1] and (back == ids).all()
+
+
 @given(TEXTS)
 @settings(max_examples=200, deadline=None)
 def test_pieces_and_spans(text):
