@@ -73,6 +73,19 @@ def test_odd_rows_and_nothing(odd, docs):
     assert again.columns == odd.columns and again.count() == odd.count()
 
 
+def test_repeated_bytes_at_the_real_width(odd, docs):
+    """Shared strings of just under and over 400 bytes, within one text and between texts, periodic and odd texts."""
+    random.seed(11)
+    fill = lambda n: "".join(random.choices("abcdefgh é", k=n))
+    shared = [fill(n) for n in (330, 380, 399, 400, 401, 460, 700, 1500)]
+    rows = [(r.doc_id, r.text) for r in odd.collect()] + [(500, "xyz" * 500), (501, "xyz" * 200), (502, None), (503, fill(300))]
+    for k in range(30):
+        parts = random.choices(shared, k=random.randint(1, 4))
+        rows.append((600 + k, "".join(p[random.randint(0, 40):] + fill(random.randint(0, 90)) for p in parts)))
+    found = suffixes.remove_repeats(docs(*rows)).drop("spans")
+    assert sorted(map(tuple, found.collect()), key=str) == byte_brute(rows, 400)
+
+
 @pytest.mark.parametrize("shard", [40, 1 << 20])
 def test_indexes_split_over_shards(shard):
     random.seed(shard)
