@@ -2,7 +2,7 @@
 
 Records are rows (RECORD); ``write`` puts them into files of gzip members, ``read`` takes files of any
 WARC records apart again. A derived record refers to its response, keeps the source's headers in its
-metadata and carries digests of its own block and of the source payload.
+metadata and carries digests of its own block, and the source's payload digest under a name of its own.
 """
 
 from __future__ import annotations
@@ -66,9 +66,11 @@ def plain_text(page: str) -> str:
 
 
 def _record(page_id, kind: str, record_id: str, refers_to, uri: str, date: str, content_type: str, block: bytes,
-            payload_digest: str, extra: dict[str, str]) -> tuple:
-    return (page_id, kind, record_id, refers_to, uri, date, content_type, len(block), digest(block),
-            payload_digest, list(extra.items()), block)
+            payload_digest: str | None, extra: dict[str, str]) -> tuple:
+    """A row; without a digest of its own the payload is the whole block."""
+    whole = digest(block)
+    return (page_id, kind, record_id, refers_to, uri, date, content_type, len(block), whole,
+            payload_digest or whole, list(extra.items()), block)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -156,10 +158,11 @@ def derive(records: DataFrame) -> DataFrame:
                       ("title", " ".join(html.unescape(title[1]).split()) if title else ""),
                       ("outlinks", str(len(re.findall(r"<a\s[^>]*href\s*=", page, re.I))))]
             block = "".join(f"{k}: {v if v is not None else ''}\r\n" for k, v in fields).encode("utf-8", "replace")
+            of_source = {"WARC-Source-Payload-Digest": paid}
             out.append(_record(row["page_id"], "metadata", record_urn("metadata", source or "", paid), source, uri,
-                               date, "application/warc-fields", block, paid, {}))
+                               date, "application/warc-fields", block, None, of_source))
             out.append(_record(row["page_id"], "conversion", conversion, source, uri, date,
-                               "text/plain; charset=utf-8", text, paid, {"WARC-Source-Digest": paid}))
+                               "text/plain; charset=utf-8", text, None, of_source))
         return out
 
     return _mapped(records.where(F.col("record_type") == "response").select(*RECORD.names), convert)
@@ -197,11 +200,16 @@ def write(records: DataFrame, folder: str) -> int:
     return sum(r[0] for r in arrow_map(records.select(*RECORD.names), put, "n bigint").collect())  # one row a file
 
 
-def _members(content: bytes) -> Iterator[bytes]:
-    while content:
-        member = zlib.decompressobj(31)
-        yield member.decompress(content) + member.flush()
-        content = member.unused_data
+def _members(content: bytes, step: int = 1 << 16) -> Iterator[bytes]:
+    """The gzip members of a file, read in pieces, so that what follows a member is not copied for each."""
+    held, at = memoryview(content), 0
+    while at < len(held):
+        member, parts = zlib.decompressobj(31), []
+        while not member.eof and at < len(held):
+            parts.append(member.decompress(held[at: at + step]))
+            at = min(at + step, len(held))
+        at -= len(member.unused_data)
+        yield b"".join([*parts, member.flush()])
 
 
 def parse(data: bytes) -> Iterator[tuple]:

@@ -1,3 +1,4 @@
+import gzip
 import hashlib
 import random
 import re
@@ -74,6 +75,13 @@ def test_imatch(odd, docs):
     assert imatch.fingerprint_documents(docs((1, "one two"))).count() == 1
 
 
+def test_gzip_members():
+    parts = [bytes([k]) * (k * 700) for k in range(40)] + [random.randbytes(300_000)]
+    content = b"".join(gzip.compress(p) for p in parts)
+    assert list(warc._members(content)) == list(warc._members(content, 1000)) == parts
+    assert list(warc._members(b"")) == []
+
+
 PAGES = T.StructType([T.StructField("page_id", T.LongType()), T.StructField("url", T.StringType()),
                       T.StructField("html", T.StringType()), T.StructField("block", T.StringType())])
 
@@ -93,7 +101,8 @@ def test_warc_round_trip(spark, tmp_path):
     ids = {r.record_id: r for r in back.collect()}
     for r in rows:
         source = ids[r.refers_to]
-        assert r.block_digest == warc.digest(bytes(r.block)) and r.payload_digest == source.payload_digest
+        assert r.block_digest == r.payload_digest == warc.digest(bytes(r.block)) and r.content_length == len(r.block)
+        assert r.extra_headers == {"WARC-Source-Payload-Digest": source.payload_digest} and r.target_uri == source.target_uri
         if r.record_type == "metadata":
             assert f"sourceRecordId: {source.record_id}" in bytes(r.block).decode()
     assert {bytes(r.block) for r in rows if r.record_type == "conversion" and r.page_id == 1} == {b"one two\nthree"}
