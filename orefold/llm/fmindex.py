@@ -245,7 +245,11 @@ def remove_repeats(docs: DataFrame, width: int = 13, with_text: bool = False) ->
             for r in held:
                 groups[r["anchor"]] = groups.get(r["anchor"], 0) + 1
             sought = [r for r in held if groups[r["anchor"]] > 1]
-            least = least_docs([r["content"].split(b" ") for r in sought], [r["doc"] for r in sought], width)
+            contents = [r["content"].split(b" ") for r in sought]
+            grams = word_grams([r["content"] for r in sought], GRAM)
+            paired = windows.with_partner([r["anchor"] for r in sought], contents, *grams, width, GRAM, tuple)
+            sought = [sought[k] for k in paired]
+            least = least_docs([contents[k] for k in paired], [r["doc"] for r in sought], width)
             marks = {(r["anchor"], r["digest"]): m for r, m in zip(sought, least)}
             out = []
             for r in held:

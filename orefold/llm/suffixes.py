@@ -12,7 +12,6 @@ binary search.
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -226,28 +225,6 @@ def repeated_windows(contents: list[bytes], width: int, shard: int = SHARD) -> l
     return out
 
 
-def with_partner(rows: list[dict], width: int, gram: int = GRAM) -> list[dict]:
-    """Those rows (anchor, content) that can share ``width`` bytes with another one of their anchor.
-
-    Equal windows hold their anchor at one place, so they are equal for half of the bytes beside it on the left
-    or on the right at least. Rows that share neither half with a row of their anchor are left out.
-    """
-    texts = [r["content"] for r in rows]
-    grams, starts = byte_grams(texts, gram)
-    wanted = np.repeat(np.array([r["anchor"] for r in rows], np.int64).view(np.uint64), np.diff(starts))
-    found = np.flatnonzero(grams == wanted[: len(grams)])  # an anchor is the first of its kind in its stretch
-    owner, first = np.unique(np.searchsorted(starts, found, side="right") - 1, return_index=True)
-    half = (width - gram) // 2
-    sides: list[tuple] = [()] * len(rows)
-    for k, at in zip(owner.tolist(), (found[first] - starts[owner]).tolist()):
-        anchor, text = rows[k]["anchor"], texts[k]
-        left = (anchor, 0, text[at - half: at]) if at >= half else None
-        right = (anchor, 1, text[at + gram: at + gram + half])
-        sides[k] = left, right if len(right[2]) == half else None
-    seen = Counter(side for pair in sides for side in pair if side)
-    return [r for r, pair in zip(rows, sides) if any(side and seen[side] > 1 for side in pair)]
-
-
 def _ranges(marks: np.ndarray) -> tuple[list[int], list[int]]:
     edges = np.flatnonzero(np.diff(np.concatenate([[0], marks.astype(np.int8), [0]])))
     return edges[::2].tolist(), edges[1::2].tolist()
@@ -281,7 +258,10 @@ def remove_repeats(docs: DataFrame, width: int = 400) -> DataFrame:
             for r in held:
                 groups[r["anchor"]] = groups.get(r["anchor"], 0) + 1
             # A content that stands in two places repeats as a whole; one that is alone with its anchor never.
-            sought = with_partner([r for r in held if groups[r["anchor"]] > 1], width)
+            sought = [r for r in held if groups[r["anchor"]] > 1]
+            contents = [r["content"] for r in sought]
+            paired = windows.with_partner([r["anchor"] for r in sought], contents, *byte_grams(contents, GRAM), width, GRAM, bytes)
+            sought = [sought[k] for k in paired]
             if any(r["many"] < 2 for r in sought):
                 needed = {r["anchor"] for r in sought if r["many"] < 2}
                 sought = [r for r in sought if r["anchor"] in needed]

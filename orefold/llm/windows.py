@@ -12,7 +12,8 @@ Copies of a text take part once, through the copy with the smallest doc_id.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -195,6 +196,27 @@ def shards(batches: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[list[
         yield held
 
 
+def with_partner(anchors: list[int], contents: Sequence, grams: np.ndarray, starts: np.ndarray, width: int, gram: int,
+                 freeze: Callable) -> list[int]:
+    """Numbers of the contents that can share a window with another one of their anchor.
+
+    Equal windows hold their anchor at one place, so they are equal in half of the units beside it, on the left
+    or on the right at least. Contents that share neither half with one of their anchor are left out. ``grams`` and
+    ``starts`` are those of the contents laid end to end; ``freeze`` turns a run of units into a key.
+    """
+    wanted = np.repeat(np.array(anchors, np.int64).view(np.uint64), np.diff(starts))
+    found = np.flatnonzero(grams == wanted[: len(grams)])  # an anchor is the first of its kind in its stretch
+    owner, first = np.unique(np.searchsorted(starts, found, side="right") - 1, return_index=True)
+    half = (width - gram) // 2
+    sides: list[tuple] = [()] * len(contents)
+    for k, at in zip(owner.tolist(), (found[first] - starts[owner]).tolist()):
+        units, end = contents[k], at + gram + half
+        sides[k] = ((anchors[k], 0, freeze(units[at - half: at])) if at >= half else None,
+                    (anchors[k], 1, freeze(units[at + gram: end])) if end <= len(units) else None)
+    seen = Counter(side for pair in sides for side in pair if side)
+    return [k for k, pair in enumerate(sides) if any(side and seen[side] > 1 for side in pair)]
+
+
 def cover(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """The union of half-open ranges, in order."""
     out: list[tuple[int, int]] = []
