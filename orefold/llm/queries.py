@@ -128,6 +128,16 @@ def _climb(name: str, first: str, sides: str) -> str:
 
 
 ORACLE: dict[str, str] = {
+    "op3_fm_index_dedup": r"""WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+      words AS (SELECT doc_id, generate_subscripts(w, 1) AS i, unnest(w) AS word FROM d),
+      grams AS (SELECT doc_id, unnest(range(1, len(w) - 11)) AS i, w FROM d),
+      windows AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 12], ' ')) AS g FROM grams),
+      firsts AS (SELECT g, min(doc_id) AS least FROM windows GROUP BY g),
+      hits AS (SELECT doc_id, i FROM windows JOIN firsts USING (g) WHERE least < doc_id),
+      gone AS (SELECT DISTINCT doc_id, i + k AS i FROM hits, range(13) t(k)),
+      kept AS (SELECT w.doc_id, string_agg(word, ' ' ORDER BY w.i) AS body, count(*) AS n FROM words w ANTI JOIN gone g ON w.doc_id = g.doc_id AND w.i = g.i GROUP BY w.doc_id)
+      SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+        sha256(coalesce(body, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)""",
     "op11_ranked_lexical_search": f"""WITH
       d AS (SELECT doc_id, {_TERMS} AS terms FROM documents WHERE len({_TERMS}) > 0),
       held AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(terms) AS term FROM d) GROUP BY ALL),
