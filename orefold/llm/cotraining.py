@@ -1,36 +1,43 @@
 """Quality classifier by co-training.
 
 Two logistic models see different things: one the words of a text, the other its metadata and layout
-(source, language, lengths, shares of kinds of characters). In each round either labels the pool rows of
-which it is most certain for the other to learn from. Both are calibrated on labelled rows that neither
-learned from, and the calibrated log-odds are weighed together on them. All documents are then scored
-where they are, without a shuffle.
-
-The models are fitted on bounded samples (LABELLED and POOL rows, those with the smallest hash of doc_id);
-everything else covers all rows.
+(source, language, lengths, shares of kinds of characters). In each round either labels, of all unlabelled
+documents, the share of which it is most certain for the other to learn from. Both are calibrated on labelled
+rows that neither learned from, and the calibrated log-odds are weighed together on them. All documents are
+then scored where they are, without a shuffle.
+
+Labelled rows are learned from on the driver, at most LABELLED of them (those with the smallest hash of
+doc_id). Unlabelled rows stay on Spark, without a bound: their features are written once, exact histograms of
+both views' log-odds give the cutoffs of a round, and all rows beyond these enter the other view's fit by the
+gradient and the curvature of their mean loss, summed up for each feature. No label is stored: a row's follow
+from the models and cutoffs of the rounds so far. Sums are of integers, so that a repeated task changes nothing.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import string
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orefold.llm.common import arrow_map, check_columns, own_columns
+from orefold.llm.common import arrow_map, check_columns, materialise, own_columns, whole_text
 from orefold.llm.common import field as column
-from orefold.llm.common import whole_text
 
-#: Most labelled rows, and most unlabelled rows, that the models are fitted on.
+#: Most labelled rows that the models are fitted on.
 LABELLED = 8_000
-POOL = 6_000
+#: What the rows that a view was given labels for weigh together, beside 1 for the labelled rows, whatever their number.
+GIVEN = 0.25
+#: Bins of a histogram of log-odds, which are cut at REACH, and units of a sum.
+BINS, REACH, UNITS = 8_192, 40.0, 1 << 20
 WORD_DIMS, META_DIMS = 1 << 17, 1 << 10
 #: Words remembered in each Python worker.
 REMEMBERED = 300_000
@@ -43,8 +50,13 @@ def _hash(name: str, dims: int) -> int:
 
 
 def word_features(word: str) -> list[int]:
-    """A word's letters in lower case, its marks, and whether it is written in capitals."""
-    out = [_hash(p.lower() if p[0].isalpha() else "m" + p[:3], WORD_DIMS) for p in _PARTS.findall(word)]
+    """A word's letters in lower case, its marks in threes, and whether it is written in capitals."""
+    out = []
+    for p in _PARTS.findall(word):
+        if p[0].isalpha():
+            out.append(_hash(p.lower(), WORD_DIMS))
+        else:
+            out += [_hash("m" + p[k: k + 3], WORD_DIMS) for k in range(max(1, len(p) - 2))]
     if len(word) > 1 and word.isupper():
         out.append(_hash("#capitals", WORD_DIMS))
     return out
@@ -58,12 +70,13 @@ class WordParts(dict):
         return found
 
 
-def content(text: str, parts: WordParts) -> tuple[np.ndarray, np.ndarray]:
-    """Feature numbers and values; the values of a text have about the same size whatever its length."""
+def content(text: str, parts: WordParts) -> tuple[np.ndarray, np.ndarray, int]:
+    """Feature numbers, how often each occurs, and the number of words. A value is a count over the root of that number,
+    so that the values of a text have about the same size whatever its length."""
     words = text.split()
     ids = [k for w in words for k in parts[w]]
     found, counts = np.unique(np.array(ids, np.int32), return_counts=True)
-    return found.astype(np.int32), (counts / math.sqrt(len(words) or 1)).astype(np.float32)
+    return found.astype("<i4"), counts.astype("<i4"), len(words)
 
 
 def metadata(source: str | None, lang: str | None, n_chars: int | None, text: str) -> list[int]:
@@ -76,7 +89,7 @@ def metadata(source: str | None, lang: str | None, n_chars: int | None, text: st
         "n_chars": n_chars if n_chars is not None else len(text), "lines": len(lines), "line_chars": size / len(lines),
         "word_chars": 20 * size / blanks, "marks": 1000 * marks / size,
         "stops": 2000 * (text.count(".") + text.count(",")) / size, "digits": 1000 * sum(map(text.count, "0123456789")) / size,
-        "capitals": 1000 * sum(map(text.count, "AEINORSTDLCH")) / size, "repeats": 100 * (1 - len(set(lines)) / len(lines))}
+        "capitals": 1000 * sum(map(text.count, string.ascii_uppercase)) / size, "repeats": 100 * (1 - len(set(lines)) / len(lines))}
     names = [f"source={source}", f"lang={lang}"]
     names += [f"{k}:{int(np.searchsorted(_STEPS, v, side='right'))}" for k, v in numbers.items()]
     return sorted({_hash(n, META_DIMS) for n in names})
@@ -97,8 +110,10 @@ class Rows:
         return cls(starts, join(0, np.int64), join(1, np.float64))
 
     def take(self, index: np.ndarray) -> Rows:
-        cut = [slice(self.starts[k], self.starts[k + 1]) for k in index]
-        return Rows.of([(self.ids[c], self.values[c]) for c in cut])
+        sizes = np.diff(self.starts)[index]
+        starts = np.concatenate([[0], np.cumsum(sizes)])
+        at = np.arange(starts[-1]) + np.repeat(self.starts[index] - starts[:-1], sizes)
+        return Rows(starts, self.ids[at], self.values[at])
 
     def dot(self, weights: np.ndarray) -> np.ndarray:
         total = np.concatenate([[0.0], np.cumsum(self.values * weights[self.ids])])
@@ -109,29 +124,45 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def fit(rows: Rows, labels: np.ndarray, dims: int, least_rows: int, penalty: float = 1e-4, steps: int = 250) -> np.ndarray:
+@dataclass
+class Pull:
+    """How the rows with given labels draw on a model: the gradient of their mean loss at the weights ``at``, an upper
+    bound of its curvature there, and the number of rows of each feature. The intercept has the last place."""
+
+    at: np.ndarray
+    rows: np.ndarray
+    gradient: np.ndarray
+    curvature: np.ndarray
+
+
+def fit(rows: Rows, labels: np.ndarray, dims: int, least_rows: int, pull: Pull | None = None, penalty: float = 1e-4,
+        steps: int = 250) -> np.ndarray:
     """Weights, and the intercept in last place, of a logistic model; classes weigh alike.
 
     Features of fewer than ``least_rows`` rows are left out.
     """
-    weights, bias = np.zeros(dims), 0.0
+    weights = np.zeros(dims)
     n = len(labels)
     of_row = np.repeat(np.arange(n), np.diff(rows.starts))
-    seen = np.bincount(rows.ids, minlength=dims) >= least_rows
+    if pull is None:
+        pull = Pull(*np.zeros((4, dims + 1)))
+    seen = np.bincount(rows.ids, minlength=dims) + pull.rows[:-1] >= least_rows
+    at, drawn, bent = (x[:-1][seen] for x in (pull.at, GIVEN * pull.gradient, GIVEN * pull.curvature))
+    at_b, drawn_b, bent_b = pull.at[-1], GIVEN * pull.gradient[-1], GIVEN * pull.curvature[-1]
     held = seen[rows.ids]
     number = np.cumsum(seen) - 1
     ids, values, of_row = number[rows.ids[held]], rows.values[held], of_row[held]
     many = int(seen.sum())
-    w, share = np.zeros(many), labels.mean()
+    w, bias, share = at.copy(), at_b, labels.mean()
     importance = np.where(labels > 0, 0.5 / max(share, 1e-9), 0.5 / max(1 - share, 1e-9)) / n
     pace, pace_b = np.full(many, 1e-8), 1e-8
     for _ in range(steps):
         z = np.bincount(of_row, weights=values * w[ids], minlength=n) + bias
         error = (_sigmoid(z) - labels) * importance
-        step = np.bincount(ids, weights=values * error[of_row], minlength=many) + penalty * w
+        step = np.bincount(ids, weights=values * error[of_row], minlength=many) + penalty * w + drawn + bent * (w - at)
         pace += step * step
         w -= 0.5 * step / np.sqrt(pace)
-        step_b = error.sum()
+        step_b = error.sum() + drawn_b + bent_b * (bias - at_b)
         pace_b += step_b * step_b
         bias -= 0.5 * step_b / math.sqrt(pace_b)
     weights[np.flatnonzero(seen)] = w
@@ -176,6 +207,7 @@ class Model:
     content: np.ndarray
     metadata: np.ndarray
     scale: tuple[tuple[float, ...], ...] = ((1, 0), (1, 0), (1, 1, 0))
+    #: Labels given in all rounds up to each.
     rounds: list[int] = field(default_factory=list)
 
     def combine(self, z_content, z_metadata):
@@ -185,48 +217,122 @@ class Model:
         return _sigmoid(x), _sigmoid(y), _sigmoid(e * x + f * y + g)
 
 
-def co_train(content_rows: Rows, metadata_rows: Rows, labels: np.ndarray, rounds: int = 3, share: float = 0.08) -> Model:
-    """Labels are 1 (good), 0 (bad) and -1 (unlabelled: the pool). Every fifth labelled row calibrates."""
-    known = np.flatnonzero(labels >= 0)
-    held, learn = known[::5], known[np.arange(len(known)) % 5 > 0]
+#: Number of features, and least rows of a feature, of the views.
+VIEWS = ((WORD_DIMS, 4), (META_DIMS, 2))
+
+
+@dataclass
+class Turn:
+    """The models of a round, and for each the last bin that it calls bad and the first that it calls good."""
+
+    models: list[np.ndarray]
+    cuts: list[tuple[int, int]]
+
+
+def _odds(rows: Rows, model: np.ndarray) -> np.ndarray:
+    return rows.dot(model[:-1]) + model[-1]
+
+
+def _bins(z: np.ndarray) -> np.ndarray:
+    return np.minimum((np.clip(z, -REACH, REACH) + REACH) * (BINS / (2 * REACH)), BINS - 1).astype(np.int64)
+
+
+def given(views: list[Rows], turns: list[Turn]) -> tuple[list[np.ndarray], np.ndarray]:
+    """The labels that each view was given in ``turns`` (-1: none), and the rows that neither was given one for.
+
+    What one view is certain of, the other learns; where they disagree, neither does.
+    """
+    labels = [np.full(len(rows.starts) - 1, -1) for rows in views]
+    left = np.ones(len(labels[0]), bool)
+    for turn in turns:
+        said = []
+        for rows, model, (low, high) in zip(views, turn.models, turn.cuts):
+            at = _bins(_odds(rows, model))
+            said.append(np.where(left & (at <= low), 0, np.where(left & (at >= high), 1, -1)))
+        agreed = (said[0] < 0) | (said[1] < 0) | (said[0] == said[1])
+        for k in (0, 1):
+            labels[1 - k] = np.where(agreed & (said[k] >= 0), said[k], labels[1 - k])
+        left &= ~(agreed & ((said[0] >= 0) | (said[1] >= 0)))
+    return labels, left
+
+
+def histograms(views: list[Rows], turns: list[Turn], models: list[np.ndarray]) -> np.ndarray:
+    """Counts of rows without a given label by the bins of both views, one view after the other."""
+    left = given(views, turns)[1]
+    return np.concatenate([np.bincount(_bins(_odds(rows, m))[left], minlength=BINS) for rows, m in zip(views, models)])
+
+
+def pulls(views: list[Rows], turns: list[Turn], models: list[np.ndarray]) -> np.ndarray:
+    """Columns rows, gradient, curvature (in units) of the features, and intercept, of bad and of good given rows
+    of both views, one after the other. The curvature bounds that of any change of weights (values are positive)."""
+    out = []
+    for rows, model, labels in zip(views, models, given(views, turns)[0]):
+        for label in (0, 1):
+            own = rows.take(np.flatnonzero(labels == label))
+            chance = _sigmoid(_odds(own, model))
+            sizes = np.diff(own.starts)
+            total = np.add.reduceat(np.append(own.values, 0.0), own.starts[:-1]) * (sizes > 0) if len(sizes) else np.zeros(0)
+            error, bend = chance - label, np.maximum(chance * (1 - chance), 0.05) * (1 + total)
+            sums = [np.bincount(own.ids, weights=None if x is None else np.repeat(x, sizes) * own.values, minlength=len(model) - 1)
+                    for x in (None, error, bend)]
+            out.append(np.column_stack([np.append(sums[0], len(sizes)), np.append(sums[1], error.sum()) * UNITS,
+                                        np.append(sums[2], bend.sum()) * UNITS]))
+    return np.concatenate(out)
+
+
+def _cuts(counts: np.ndarray, many_bad: int, many_good: int) -> tuple[int, int]:
+    """The last bin of the lowest rows and the first of the highest; only bins below and above even odds."""
+    low = int(np.searchsorted(np.cumsum(counts), many_bad))
+    high = BINS - 1 - int(np.searchsorted(np.cumsum(counts[::-1]), many_good))
+    return min(low, BINS // 2 - 1), max(high, BINS // 2)
+
+
+def co_train(views: list[Rows], labels: np.ndarray, pool, rounds: int = 3, share: float = 0.08, steps: int = 2) -> Model:
+    """``views`` are content and metadata of labelled rows, good (1) or bad (0); every fifth calibrates. ``pool`` sums
+    the results of a function (``histograms`` or ``pulls``) over all unlabelled rows, for given turns and models.
+
+    After each round both models take ``steps`` steps towards the rows that they were given labels for.
+    """
+    held, learn = np.arange(len(labels))[::5], np.flatnonzero(np.arange(len(labels)) % 5 > 0)
     if len(set(labels[learn])) < 2 or len(set(labels[held])) < 2:
         raise NoModel("both good and bad labelled documents are needed")
-    pool = np.flatnonzero(labels < 0)
-    views = [(content_rows, WORD_DIMS, 4), (metadata_rows, META_DIMS, 2)]
-    given = [{int(k): float(labels[k]) for k in learn} for _ in views]
-    models: list[np.ndarray] = []
+    truth = labels[learn].astype(np.float64)
+    own = [rows.take(learn) for rows in views]
+    models = [fit(rows, truth, dims, least) for rows, (dims, least) in zip(own, VIEWS)]
+    turns: list[Turn] = []
     added = []
-    good_share = labels[learn].mean()
-    for turn in range(rounds + 1):
-        models = []
-        for (rows, dims, least), known_labels in zip(views, given):
-            index = np.array(sorted(known_labels))
-            models.append(fit(rows.take(index), np.array([known_labels[k] for k in index]), dims, least))
-        if turn == rounds or not len(pool):
+    for _ in range(rounds):
+        counts = pool(histograms, turns, models).reshape(2, BINS)
+        many = int(share * counts[0].sum())
+        if not counts[0].sum():
             break
-        certain = []
-        for (rows, _, _), model in zip(views, models):
-            z = rows.take(pool).dot(model[:-1]) + model[-1]
-            order = np.argsort(z, kind="stable")
-            many = int(share * len(pool))
-            bad, good = max(1, int(many * (1 - good_share))), max(1, int(many * good_share))
-            low, high = order[:bad], order[-good:]
-            certain.append({**{int(pool[k]): 0.0 for k in low if z[k] < 0}, **{int(pool[k]): 1.0 for k in high if z[k] > 0}})
-        gone: set[int] = set()
-        for k in (0, 1):  # what one view is certain of, the other learns; where they disagree, neither does
-            for row, label in certain[k].items():
-                if certain[1 - k].get(row, label) == label:
-                    given[1 - k].setdefault(row, label)
-                    gone.add(row)
-        pool = np.array([k for k in pool if int(k) not in gone], np.int64)
-        added.append(len(gone))
-    z = [rows.take(held).dot(model[:-1]) + model[-1] for (rows, _, _), model in zip(views, models)]
+        bad = max(1, int(many * (1 - truth.mean())))
+        turns.append(Turn(models, [_cuts(c, bad, max(1, many - bad)) for c in counts]))
+        for _ in range(steps):
+            sums, parts, start = pool(pulls, turns, models), [], 0
+            for dims, _ in VIEWS:
+                parts.append(sums[start: start + 2 * (dims + 1)].reshape(2, dims + 1, 3))
+                start += 2 * (dims + 1)
+            models = [_towards(rows, truth, view, part, model) for rows, view, part, model in zip(own, VIEWS, parts, models)]
+        added.append(int(sum(part[:, -1, 0].sum() for part in parts)))
+    test = [rows.take(held) for rows in views]
+    z = [_odds(rows, model) for rows, model in zip(test, models)]
     truth = labels[held].astype(np.float64)
     one, two = calibrate(z[0], truth), calibrate(z[1], truth)
     both = calibrate(np.column_stack([one[0] * z[0] + one[1], two[0] * z[1] + two[1]]), truth)
     return Model(models[0].astype(np.float32), models[1].astype(np.float32), (one, two, both), added)
 
 
+def _towards(rows: Rows, truth: np.ndarray, view: tuple[int, int], part: np.ndarray, model: np.ndarray) -> np.ndarray:
+    """The model fitted anew with the pull of the given rows, whose classes weigh alike."""
+    many = part[:, -1, 0]
+    if not many.any():
+        return model
+    weight = np.where(many > 0, 1 / (np.count_nonzero(many) * np.maximum(many, 1)), 0.0) / UNITS
+    gradient, curvature = (weight[:, None] * part[:, :, k] for k in (1, 2))
+    return fit(rows, truth, *view, Pull(model, part[:, :, 0].sum(axis=0), gradient.sum(axis=0), curvature.sum(axis=0)), steps=80)
+
+
 # -- with Spark -------------------------------------------------------------------------------------
 
 _COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -238,41 +344,83 @@ def _plain(docs: DataFrame) -> DataFrame:
                        F.col("source").cast("string"), F.col("n_chars").cast("bigint"))
 
 
+_FEATURES = "doc_id bigint, ids binary, counts binary, words bigint, meta binary"
+
+
+def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    parts = WordParts()
+    for batch in batches:
+        doc_ids, texts, langs, sources, sizes = (batch.column(k).to_pylist() for k in range(5))
+        found = [content(t, parts) for t in texts]
+        meta = [np.array(metadata(*r), "<i4").tobytes() for r in zip(sources, langs, sizes, texts)]
+        yield pa.RecordBatch.from_arrays([
+            pa.array(doc_ids, pa.int64()), pa.array([f[0].tobytes() for f in found], pa.binary()),
+            pa.array([f[1].tobytes() for f in found], pa.binary()), pa.array([f[2] for f in found], pa.int64()),
+            pa.array(meta, pa.binary())], names=["doc_id", "ids", "counts", "words", "meta"])
+
+
+def _numbers(column_: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and numbers of a column of binary 32-bit numbers."""
+    sizes = np.array(pc.binary_length(column_), np.int64) // 4
+    return np.concatenate([[0], np.cumsum(sizes)]), np.frombuffer(b"".join(column_.to_pylist()), "<i4").astype(np.int64)
+
+
+def _views(rows: pa.RecordBatch | pa.Table) -> list[Rows]:
+    """Content and metadata of rows with the columns ids, counts, words and meta."""
+    ids, counts, words, meta = (rows.column(rows.schema.get_field_index(n)) for n in ("ids", "counts", "words", "meta"))
+    starts, found = _numbers(ids)
+    root = np.sqrt(np.maximum(np.array(words, np.float64), 1))
+    starts_m, found_m = _numbers(meta)
+    return [Rows(starts, found, _numbers(counts)[1] / np.repeat(root, np.diff(starts))),
+            Rows(starts_m, found_m, np.ones(len(found_m)))]
+
+
+def _pool(rows: DataFrame):
+    """Sums of ``histograms`` or ``pulls`` over the features ``rows``: each task adds up its own, Spark those of tasks."""
+    context = rows.sparkSession.sparkContext
+
+    def total(function, turns: list[Turn], models: list[np.ndarray]) -> np.ndarray:
+        sent = context.broadcast((turns, models))
+
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums = None
+            for batch in batches:
+                found = function(_views(batch), *sent.value)
+                sums = found.astype(np.float64) if sums is None else sums + found
+            if sums is not None:
+                sums = np.rint(sums.reshape(len(sums), -1)).astype(np.int64)
+                at = np.flatnonzero(sums.any(axis=1))
+                yield pa.RecordBatch.from_arrays([pa.array(at), *[pa.array(np.ascontiguousarray(c)) for c in sums[at].T]], names=names)
+
+        wide = 1 if function is histograms else 3
+        names = ["at", *[f"sum_{k}" for k in range(wide)]]
+        parts = arrow_map(rows, add, ", ".join(f"{n} bigint" for n in names))
+        found = parts.groupBy("at").agg(*[F.sum(n).alias(n) for n in names[1:]]).toArrow()  # a row for each place at most
+        out = np.zeros((2 * BINS if wide == 1 else sum(2 * (dims + 1) for dims, _ in VIEWS), wide))
+        for k, n in enumerate(names[1:]):
+            out[found["at"].to_numpy(), k] = found[n].to_numpy()
+        sent.unpersist()
+        return out
+
+    return total
+
+
 def train(docs: DataFrame, labels: DataFrame, rounds: int = 3) -> Model:
     """Learns from labels (doc_id, quality, toxic): good is quality 1 and not toxic; of repeated labels the
     worst counts, and a null label is none."""
     check_columns(labels, ["doc_id", "quality", "toxic"])
     marks = labels.groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(
         F.min((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).alias("good"))
-    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("text")]
-    # Texts are hashed before they meet the labels: none is shuffled.
-    narrow = _plain(docs).select("doc_id", F.xxhash64("text").alias("text")).join(marks, "doc_id", "left")
-    # Which rows to learn from is decided on narrow rows; at most LABELLED + POOL ids follow.
-    chosen = narrow.where("good is not null").orderBy(*order).limit(LABELLED).unionByName(
-        narrow.where("good is null").orderBy(*order).limit(POOL)).select("doc_id", "text", "good").distinct()
-    # The bound on the number of ids makes this side small.
-    sample = _plain(docs).withColumn("h", F.xxhash64("text")).join(
-        F.broadcast(chosen.withColumnRenamed("text", "h")), ["doc_id", "h"])
-
-    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = WordParts()
-        for batch in batches:
-            rows_ = batch.to_pylist()
-            found = [content(r["text"], parts) for r in rows_]
-            yield pa.RecordBatch.from_arrays([
-                pa.array([r["doc_id"] for r in rows_], pa.int64()), pa.array([r["good"] for r in rows_], pa.bool_()),
-                pa.array([f[0].tobytes() for f in found], pa.binary()), pa.array([f[1].tobytes() for f in found], pa.binary()),
-                pa.array([np.array(metadata(r["source"], r["lang"], r["n_chars"], r["text"]), "<i4").tobytes() for r in rows_],
-                         pa.binary())], names=["doc_id", "good", "ids", "values", "meta"])
-
-    found = arrow_map(sample.select(*_COLUMNS, "good"), features,
-                      "doc_id bigint, good boolean, ids binary, values binary, meta binary")
-    rows_ = sorted(found.collect(), key=lambda r: (r["doc_id"] is not None, r["doc_id"], bytes(r["ids"])))
-    content_rows = Rows.of([(np.frombuffer(r["ids"], "<i4"), np.frombuffer(r["values"], "<f4")) for r in rows_])
-    meta = [np.frombuffer(r["meta"], "<i4") for r in rows_]
-    metadata_rows = Rows.of([(m, np.ones(len(m))) for m in meta])
-    known = np.array([-1 if r["good"] is None else int(r["good"]) for r in rows_])
-    return co_train(content_rows, metadata_rows, known, rounds)
+    # Features meet the labels, not texts.
+    rows = materialise(arrow_map(_plain(docs), _features, _FEATURES).join(marks, "doc_id", "left"), "features")
+    # Which rows to learn from is decided on narrow rows; at most LABELLED digests follow, a small side.
+    digest = F.xxhash64("doc_id", "ids", "counts", "meta")
+    known = rows.where("good is not null").withColumn("digest", digest)
+    chosen = known.select("digest", "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "digest").limit(LABELLED)
+    sample = known.join(F.broadcast(chosen.distinct()), ["digest", "doc_id"], "left_semi").dropDuplicates(["digest"]).toArrow()
+    sample = sample.sort_by([("doc_id", "ascending"), ("digest", "ascending")]).combine_chunks()
+    good = np.array(sample["good"], np.int64)
+    return co_train(_views(sample), good, _pool(rows.where("good is null").select("ids", "counts", "words", "meta")), rounds)
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:

@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 from pyspark.sql import types as T
 
 from orefold.llm import cotraining, imatch, rules, warc
@@ -59,6 +60,66 @@ def test_classifier(docs, spark):
     assert cotraining.classify(texts.limit(0), labels).count() == 0
 
 
+def test_all_unlabelled_rows_are_exchanged(docs, spark):
+    """Sums by Spark over features equal loops over rows, and the labels given in turns follow from both views."""
+    texts, _ = labelled(docs, spark, 90)
+    odd_rows = docs((None, "null id ### one"), (None, None), (3, ""), (3, ""), (4, "CAPITALS $$$$$$ " + "long " * 3000))
+    table = cotraining.arrow_map(cotraining._plain(texts.union(odd_rows)), cotraining._features, cotraining._FEATURES)
+    pool, views = cotraining._pool(table), cotraining._views(table.toArrow().combine_chunks())
+    rng = np.random.default_rng(1)
+    models = [[rng.normal(0, 0.3, dims + 1) for dims, _ in cotraining.VIEWS] for _ in range(3)]
+    middle = cotraining.BINS // 2
+    turns = [cotraining.Turn(models[0], [(middle - 200, middle + 150), (middle - 150, middle + 200)]),
+             cotraining.Turn(models[1], [(middle - 90, middle + 90)] * 2)]
+
+    def odds(k, row, model):
+        at = slice(views[k].starts[row], views[k].starts[row + 1])
+        return sum(v * model[i] for i, v in zip(views[k].ids[at], views[k].values[at])) + model[-1]
+
+    def bin_of(z):
+        return int(min(max(z, -40), 40) * cotraining.BINS / 80 + middle)
+
+    n = len(views[0].starts) - 1
+    assert n == 95
+    want, free = [[-1] * n, [-1] * n], []
+    for row in range(n):
+        for turn in turns:
+            said = [0 if bin_of(odds(k, row, turn.models[k])) <= turn.cuts[k][0] else
+                    1 if bin_of(odds(k, row, turn.models[k])) >= turn.cuts[k][1] else -1 for k in (0, 1)]
+            if max(said) >= 0 and not (min(said) >= 0 and said[0] != said[1]):
+                for k in (0, 1):
+                    want[1 - k][row] = said[k]
+                break
+        else:
+            free.append(row)
+    labels, left = cotraining.given(views, turns)
+    assert [x.tolist() for x in labels] == want and np.flatnonzero(left).tolist() == free and 0 < len(free) < n
+    counts = pool(cotraining.histograms, turns, models[2]).reshape(2, -1)
+    for k in (0, 1):
+        assert counts[k].sum() == len(free)
+        assert dict(Counter(bin_of(odds(k, r, models[2][k])) for r in free)) == {b: counts[k][b] for b in np.flatnonzero(counts[k])}
+    assert {x for column in want for x in column} == {-1, 0, 1}
+    sums, start = pool(cotraining.pulls, turns, models[2]), 0
+    for k, (dims, _) in enumerate(cotraining.VIEWS):
+        for label in (0, 1):
+            brute_ = np.zeros((dims + 1, 3))
+            for row in (r for r in range(n) if want[k][r] == label):
+                at = slice(views[k].starts[row], views[k].starts[row + 1])
+                chance = 1 / (1 + np.exp(-odds(k, row, models[2][k])))
+                bend = max(chance * (1 - chance), 0.05) * (1 + views[k].values[at].sum())
+                for i, v in [*zip(views[k].ids[at], views[k].values[at]), (dims, 1.0)]:
+                    brute_[i] += 1, v * (chance - label), v * bend
+            found = sums[start: start + dims + 1] / [1, cotraining.UNITS, cotraining.UNITS]
+            assert np.allclose(found, brute_, atol=1e-4)
+            start += dims + 1
+
+
+def test_features_cover_all_marks_and_capitals():
+    assert cotraining.word_features("$$$a") != cotraining.word_features("$$$#a")
+    assert len(cotraining.word_features("$$$$##")) == 4
+    assert cotraining.metadata(None, None, 1, "ZZZZ zzzz") != cotraining.metadata(None, None, 1, "zzzz zzzz")
+
+
 def test_imatch(odd, docs):
     rows = sorted(odd.collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.text or ""))
     want = []
