@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orefold.llm.common import arrow_map, check_columns, materialise, own_columns, whole_text
+from orefold.llm.common import arrow_map, check_columns, free_shuffles, materialise, own_columns, whole_text
 from orefold.llm.common import field as column
 
 #: Most labelled rows that the models are fitted on.
@@ -42,6 +42,8 @@ WORD_DIMS, META_DIMS = 1 << 17, 1 << 10
 #: Words remembered in each Python worker.
 REMEMBERED = 300_000
 _PARTS = re.compile(r"[^\W\d_]+|\d|[^\w\s]+|_+")
+#: Bytes of blanks, stops, marks, digits and capitals.
+_KINDS = [list(k.encode()) for k in (" ", ".,", "#*$%&|<>!", string.digits, string.ascii_uppercase)]
 _STEPS = np.array([0, 1, 2, 3, 5, 8, 12, 20, 30, 50, 80, 120, 200, 300, 500, 800, 1300, 2100, 3400, 5500, 1e4, 2e4, 1e5])
 
 
@@ -83,13 +85,14 @@ def metadata(source: str | None, lang: str | None, n_chars: int | None, text: st
     """Feature numbers of the metadata and the layout; each has the value 1."""
     size = len(text) or 1
     lines = text.split("\n")
-    blanks = text.count(" ") + len(lines)
-    marks = sum(map(text.count, "#*$%&|<>!"))
+    held = np.bincount(np.frombuffer(text.encode("utf-8", "replace"), np.uint8), minlength=256)
+    blanks, stops, marks, digits, capitals = (int(held[k].sum()) for k in _KINDS)
+    blanks += len(lines)
     numbers = {
         "n_chars": n_chars if n_chars is not None else len(text), "lines": len(lines), "line_chars": size / len(lines),
         "word_chars": 20 * size / blanks, "marks": 1000 * marks / size,
-        "stops": 2000 * (text.count(".") + text.count(",")) / size, "digits": 1000 * sum(map(text.count, "0123456789")) / size,
-        "capitals": 1000 * sum(map(text.count, string.ascii_uppercase)) / size, "repeats": 100 * (1 - len(set(lines)) / len(lines))}
+        "stops": 2000 * stops / size, "digits": 1000 * digits / size, "capitals": 1000 * capitals / size,
+        "repeats": 100 * (1 - len(set(lines)) / len(lines))}
     names = [f"source={source}", f"lang={lang}"]
     names += [f"{k}:{int(np.searchsorted(_STEPS, v, side='right'))}" for k, v in numbers.items()]
     return sorted({_hash(n, META_DIMS) for n in names})
@@ -344,7 +347,11 @@ def _plain(docs: DataFrame) -> DataFrame:
                        F.col("source").cast("string"), F.col("n_chars").cast("bigint"))
 
 
-_FEATURES = "doc_id bigint, ids binary, counts binary, words bigint, meta binary"
+#: ``ids`` holds the lower 16 bits of ascending feature numbers of 17 bits, of which the first ``low`` have no bit above.
+_FEATURES = "doc_id bigint, ids binary, low bigint, counts binary, words bigint, meta binary"
+
+
+STORED = ("ids", "low", "counts", "words", "meta")
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -354,25 +361,27 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = [content(t, parts) for t in texts]
         meta = [np.array(metadata(*r), "<i4").tobytes() for r in zip(sources, langs, sizes, texts)]
         yield pa.RecordBatch.from_arrays([
-            pa.array(doc_ids, pa.int64()), pa.array([f[0].tobytes() for f in found], pa.binary()),
+            pa.array(doc_ids, pa.int64()), pa.array([f[0].astype("<u2").tobytes() for f in found], pa.binary()),
+            pa.array([int(np.searchsorted(f[0], 1 << 16)) for f in found], pa.int64()),
             pa.array([f[1].tobytes() for f in found], pa.binary()), pa.array([f[2] for f in found], pa.int64()),
-            pa.array(meta, pa.binary())], names=["doc_id", "ids", "counts", "words", "meta"])
+            pa.array(meta, pa.binary())], names=["doc_id", "ids", "low", "counts", "words", "meta"])
 
 
-def _numbers(column_: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and numbers of a column of binary 32-bit numbers."""
-    sizes = np.array(pc.binary_length(column_), np.int64) // 4
-    return np.concatenate([[0], np.cumsum(sizes)]), np.frombuffer(b"".join(column_.to_pylist()), "<i4").astype(np.int64)
+def _numbers(column_: pa.Array, kind: str = "<i4") -> tuple[np.ndarray, np.ndarray]:
+    """Starts and numbers of a column of binary numbers."""
+    sizes = np.array(pc.binary_length(column_), np.int64) // np.dtype(kind).itemsize
+    return np.concatenate([[0], np.cumsum(sizes)]), np.frombuffer(b"".join(column_.to_pylist()), kind).astype(np.int64)
 
 
 def _views(rows: pa.RecordBatch | pa.Table) -> list[Rows]:
-    """Content and metadata of rows with the columns ids, counts, words and meta."""
-    ids, counts, words, meta = (rows.column(rows.schema.get_field_index(n)) for n in ("ids", "counts", "words", "meta"))
-    starts, found = _numbers(ids)
+    """Content and metadata of rows with the columns of features."""
+    ids, low, counts, words, meta = (rows.column(rows.schema.get_field_index(n)) for n in STORED)
+    starts, found = _numbers(ids, "<u2")
+    sizes = np.diff(starts)
+    found += np.where(np.arange(len(found)) >= np.repeat(starts[:-1] + np.array(low, np.int64), sizes), 1 << 16, 0)
     root = np.sqrt(np.maximum(np.array(words, np.float64), 1))
     starts_m, found_m = _numbers(meta)
-    return [Rows(starts, found, _numbers(counts)[1] / np.repeat(root, np.diff(starts))),
-            Rows(starts_m, found_m, np.ones(len(found_m)))]
+    return [Rows(starts, found, _numbers(counts)[1] / np.repeat(root, sizes)), Rows(starts_m, found_m, np.ones(len(found_m)))]
 
 
 def _pool(rows: DataFrame):
@@ -400,6 +409,8 @@ def _pool(rows: DataFrame):
         for k, n in enumerate(names[1:]):
             out[found["at"].to_numpy(), k] = found[n].to_numpy()
         sent.unpersist()
+        del parts, found
+        free_shuffles(rows.sparkSession)
         return out
 
     return total
@@ -411,16 +422,17 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = 3) -> Model:
     check_columns(labels, ["doc_id", "quality", "toxic"])
     marks = labels.groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(
         F.min((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).alias("good"))
-    # Features meet the labels, not texts.
-    rows = materialise(arrow_map(_plain(docs), _features, _FEATURES).join(marks, "doc_id", "left"), "features")
+    # Features meet the labels, not texts, and in the same way whatever the number of labels.
+    rows = materialise(arrow_map(_plain(docs), _features, _FEATURES).join(marks.hint("merge"), "doc_id", "left"), "features")
+    free_shuffles(docs.sparkSession)
     # Which rows to learn from is decided on narrow rows; at most LABELLED digests follow, a small side.
-    digest = F.xxhash64("doc_id", "ids", "counts", "meta")
+    digest = F.xxhash64("doc_id", *STORED)
     known = rows.where("good is not null").withColumn("digest", digest)
     chosen = known.select("digest", "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "digest").limit(LABELLED)
     sample = known.join(F.broadcast(chosen.distinct()), ["digest", "doc_id"], "left_semi").dropDuplicates(["digest"]).toArrow()
     sample = sample.sort_by([("doc_id", "ascending"), ("digest", "ascending")]).combine_chunks()
     good = np.array(sample["good"], np.int64)
-    return co_train(_views(sample), good, _pool(rows.where("good is null").select("ids", "counts", "words", "meta")), rounds)
+    return co_train(_views(sample), good, _pool(rows.where("good is null").select(*STORED)), rounds)
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
