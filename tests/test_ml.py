@@ -91,3 +91,41 @@ def test_registered_queries_run_the_whole_search(spark, sample, monkeypatch):
     monkeypatch.setattr(tuning, "search", lambda *a: seen.append(len(search(*a).trials)) or tuning.Study())
     learning.top_trials(spark, sample)
     assert seen[1:] == [100]
+
+
+def test_search_scores_as_a_cross_validator_with_shared_fits(spark, monkeypatch):
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    rows = spark.createDataFrame(
+        [(i, float(i * 37 % 101), "abcd"[i * 7 % 4], float((i * 37 % 101 > 40) ^ (i * 7 % 4 == 1) ^ (i % 31 == 0))) for i in range(200)],
+        "id int, age double, home string, label double")
+    evaluator = MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy")
+    real, fits = tuning.classifier, []
+    ready = features.fit_features(rows, SPEC).transform(rows).select(
+        "features", "label", features.bucket("id", 42, 2).cast("int").alias("fold"))
+
+    class Counted:
+        def __init__(self, params):
+            self.inner = real(params)
+
+        def fit(self, data):
+            fits.append(1)
+            return self.inner.fit(data)
+
+    narrow = tuning.Space(depth=(3, 7), leaf_share=(1e-6, 1e-2))
+    wide = tuning.Space(depth=(3, 7), min_gain=(0.0, 0.05), feature_choices=("sqrt", "all"))
+    for space, trials, most in ((narrow, 5, 9), (wide, 3, 6)):  # one fit for each trial and fold, if none were shared
+        fits.clear()
+        monkeypatch.setattr(tuning, "classifier", Counted)
+        study = tuning.search(rows, SPEC, "id", trials=trials, space=space, folds=2)
+        assert study.failed == 0 and 2 <= len(fits) <= most
+        for trial in study.trials:
+            cv = CrossValidator(estimator=real(trial.params), estimatorParamMaps=ParamGridBuilder().build(),
+                                evaluator=evaluator, numFolds=2, foldCol="fold")
+            assert trial.value == float(cv.fit(ready).avgMetrics[0]), trial.params
+
+
+def test_search_with_an_empty_fold_fails_every_trial(spark, people):
+    study = tuning.search(people.filter("id = '1'"), SPEC, "id", trials=3, folds=2)
+    assert study.failed == 3 and "empty" in study.trials[0].error
