@@ -163,3 +163,21 @@ def test_digest_sees_values_that_change_columns(spark, lake, rows):
     assert rows(lake.read("silver", "d")) == rows(operator)
     plain = load_history(lake, "silver", "d", first, ["id"], D3, ["a", "b", "c"], change_type=False, null_safe=False)
     assert not plain.changed
+
+
+def test_a_narrow_reader_of_a_history_shuffles_no_other_column(spark):
+    """Keys and dates of all versions need no attribute; source rows are read once, repeats still fail."""
+    kind = "id int, text string, _tf_row_hash string"
+    old = spark.createDataFrame([(1, "wide one", "a"), (2, "wide two", "b"), (3, "three", "c")], kind)
+    new = spark.createDataFrame([(1, "wide one", "a"), (2, "changed", "x"), (4, "four", "d")], kind)
+    merged = scd2_apply(first_versions(old, "2024-01-01 00:00:00"), new, ["id"], "2024-01-02 00:00:00")
+    narrow = version_timeline(merged, ["id"])
+    plan = narrow._jdf.queryExecution().optimizedPlan().toString()
+    assert "text" not in plan.replace("LogicalRDD [id#", "").split("Join", 1)[0] and "struct" not in plan
+    assert plan.count("LogicalRDD") == 2
+    assert [r.id for r in narrow.collect()] == [1, 2, 2, 3, 4]
+    assert {(r.id, r.text, r["_tf_change_type"], r["_tf_is_current"]) for r in merged.collect()} == {
+        (1, "wide one", "INSERT", True), (2, "wide two", "UPDATE", False), (2, "changed", "UPDATE", True),
+        (3, "three", "DELETE", False), (4, "four", "INSERT", True)}
+    with pytest.raises(Exception, match="duplicate key"):
+        scd2_apply(first_versions(old, "2024-01-01 00:00:00"), new.union(new), ["id"], "2024-01-02 00:00:00").collect()
