@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orefold.llm import windows
-from orefold.llm.common import arrow_map, check_columns, free_shuffles, materialise, own_columns, whole_text
+from orefold.llm.common import arrow_map, check_columns, materialise, own_columns, whole_text
 
 GRAM = 5
 _PLACE = 21
@@ -295,8 +295,10 @@ def remove_repeats(docs: DataFrame, width: int = 13, with_text: bool = False) ->
                  pa.array(spans, kind), pa.array(digests, pa.string()), pa.array(left, pa.string())],
                 names=["doc", "key", "removed", "spans", "sha", "left"])
 
-    done = arrow_map(windows.with_texts(docs, lists, "marks"), remove,
-                     "doc bigint, key bigint, removed bigint, spans array<struct<start:bigint,end:bigint>>, sha string, left string")
+    # Stored, so that the shuffled texts are freed before those of the result, or a caller, are shuffled.
+    done = materialise(arrow_map(windows.with_texts(docs, lists, "marks"), remove,
+                                 "doc bigint, key bigint, removed bigint, spans array<struct<start:bigint,end:bigint>>, sha string, left string"),
+                       "word-removed")
     base = found.select("doc_id", windows.doc_or_last().alias("doc"), "key", "text_sha", "n_words", "words_sha")
     copies = base.groupBy("text_sha").agg(F.min("doc").alias("first"))
     joined = base.join(copies, "text_sha").join(done, ["doc", "key"], "left")
@@ -304,7 +306,6 @@ def remove_repeats(docs: DataFrame, width: int = 13, with_text: bool = False) ->
     span = F.struct(F.lit(0).cast("bigint").alias("start"), F.col("n_words").alias("end"))
     empty = F.array().cast("array<struct<start:bigint,end:bigint>>")
     text = [F.when(whole, F.lit("")).otherwise(F.col("left")).alias("kept_text")] if with_text else []
-    free_shuffles(docs.sparkSession)
     return joined.select(
         "doc_id", "n_words", F.when(whole, F.col("n_words")).otherwise(F.coalesce("removed", F.lit(0))).alias("n_removed"),
         F.when(whole, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("sha", "words_sha")).alias("kept_sha256"),

@@ -63,6 +63,12 @@ def test_repeats_match_brute_force(docs, seed):
     assert sorted(map(tuple, found.collect()), key=str) == byte_brute(rows, 128)
 
 
+def test_the_result_shuffles_no_text_that_was_searched(odd, docs):
+    # The searched texts' shuffle has ended with a stored table, so its files are gone when the result is made.
+    for found in (fmindex.remove_repeats(odd), fmindex.rewrite(odd)):
+        assert "MapInArrow" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_odd_rows_and_nothing(odd, docs):
     rows = [(r.doc_id, r.text) for r in odd.collect()]
     found = fmindex.remove_repeats(odd).drop("spans", "text_sha")
