@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orefold.llm.common import arrow_map, check_columns, free_shuffles, materialise, own_columns, whole_text
+from orefold.llm.common import arrow_map, check_columns, discard, free_shuffles, materialise, own_columns, whole_text
 from orefold.llm.common import field as column
 
 #: Most labelled rows that the models are fitted on.
@@ -424,7 +424,14 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = 3) -> Model:
         F.min((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).alias("good"))
     # Features meet the labels, not texts, and in the same way whatever the number of labels.
     rows = materialise(arrow_map(_plain(docs), _features, _FEATURES).join(marks.hint("merge"), "doc_id", "left"), "features")
-    free_shuffles(docs.sparkSession)
+    try:
+        return _fit(rows, rounds)
+    finally:
+        discard(rows)  # the model is all that is left of them
+
+
+def _fit(rows: DataFrame, rounds: int) -> Model:
+    free_shuffles(rows.sparkSession)
     # Which rows to learn from is decided on narrow rows; at most LABELLED digests follow, a small side.
     digest = F.xxhash64("doc_id", *STORED)
     known = rows.where("good is not null").withColumn("digest", digest)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orefold.llm import windows
-from orefold.llm.common import arrow_map, check_columns, materialise, own_columns, whole_text
+from orefold.llm.common import arrow_map, check_columns, discard, materialise, own_columns, whole_text
 
 GRAM = 5
 _PLACE = 21
@@ -224,20 +224,19 @@ def _cut(text: bytes, runs: list[tuple[int, int]]) -> list[bytes]:
     return [b" ".join(words[a: a + n]) for a, n in runs]
 
 
-def remove_repeats(docs: DataFrame, width: int = 13, with_text: bool = False) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept_sha256, spans, text_sha) of documents (doc_id, text).
-
-    ``spans`` are the removed ranges of words, in order. Words are runs without ASCII white space. Null text
-    has none; texts of fewer than ``width`` words lose nothing. Of copies the one with the smallest doc_id
-    counts; rows of one doc_id do not remove from each other. A null doc_id is greater than all others.
-    ``with_text`` adds ``kept_text``: the words left, joined by blanks, or null where none was removed.
-    """
+def _search(docs: DataFrame, width: int, with_text: bool) -> tuple[DataFrame, DataFrame]:
+    """Stored: all documents (doc_id, doc, key, text_sha, n_words, words_sha), and what the first of its copies loses for each text
+    that loses something (doc, key, removed, spans, sha, left)."""
     check_columns(docs, ["doc_id", "text"])
     if width < GRAM or width - GRAM + 1 > 1 << windows.COUNT_BITS:
         raise ValueError(f"width must be within {GRAM}..{(1 << windows.COUNT_BITS) + GRAM - 1}")
     found = windows.survey(docs, width, GRAM, word_grams, _about, "n_words bigint, words_sha string", "word-survey")
     chosen = windows.candidates(found, False, "word-candidates")
+    # The stretches' anchors are most of the survey, and not needed from here on.
+    base = materialise(found.select("doc_id", windows.doc_or_last().alias("doc"), "key", "text_sha", "n_words", "words_sha"), "word-base")
+    discard(found)
     rows = windows.contents(docs, chosen, width, _cut, "word-stretches")
+    discard(chosen)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held in windows.shards(batches, 6 * SHARD):
@@ -268,17 +267,21 @@ def remove_repeats(docs: DataFrame, width: int = 13, with_text: bool = False) ->
     marked = materialise(arrow_map(windows.distinct_contents(rows), search,
                                    "anchor bigint, digest binary, least array<bigint>"), "word-marks")
     spots = rows.select("anchor", "digest", "doc", "key", "place").join(marked, ["anchor", "digest"])
-    lists = spots.groupBy("doc", "key").agg(F.collect_list(F.struct("place", "least")).alias("marks"))
+    # Only texts that lose words, and which of their windows go, travel on.
+    spots = spots.select("doc", "key", "place", F.transform("least", lambda least: least < F.col("doc")).alias("gone"))
+    lists = materialise(spots.where(F.exists("gone", lambda gone: gone)).groupBy("doc", "key").agg(
+        F.collect_list(F.struct("place", "gone")).alias("marks")), "word-cuts")
+    discard(rows, marked)
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             docs_, keys, texts, lists_ = (c.to_pylist() for c in batch.columns)
             removed, spans, digests, left = [], [], [], []
-            for doc, text, marks in zip(docs_, texts, lists_):
+            for text, marks in zip(texts, lists_):
                 words = text.encode("utf-8", "replace").split()
                 gone = windows.cover([(start + k, start + k + width) for m in marks
                                       for start in [m["place"] >> windows.COUNT_BITS]
-                                      for k, least in enumerate(m["least"]) if least < doc])
+                                      for k, lost in enumerate(m["gone"]) if lost])
                 kept, at = [], 0
                 for a, b in gone:
                     kept += words[at:a]
@@ -288,7 +291,7 @@ def remove_repeats(docs: DataFrame, width: int = 13, with_text: bool = False) ->
                 spans.append([{"start": a, "end": b} for a, b in gone])
                 joined_words = b" ".join(kept)
                 digests.append(hashlib.sha256(joined_words).hexdigest())
-                left.append(joined_words.decode() if with_text and gone else None)
+                left.append(joined_words.decode() if with_text else None)
             kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(docs_, pa.int64()), pa.array(keys, pa.int64()), pa.array(removed, pa.int64()),
@@ -299,7 +302,11 @@ def remove_repeats(docs: DataFrame, width: int = 13, with_text: bool = False) ->
     done = materialise(arrow_map(windows.with_texts(docs, lists, "marks"), remove,
                                  "doc bigint, key bigint, removed bigint, spans array<struct<start:bigint,end:bigint>>, sha string, left string"),
                        "word-removed")
-    base = found.select("doc_id", windows.doc_or_last().alias("doc"), "key", "text_sha", "n_words", "words_sha")
+    discard(lists)
+    return base, done
+
+
+def _result(base: DataFrame, done: DataFrame, width: int, with_text: bool) -> DataFrame:
     copies = base.groupBy("text_sha").agg(F.min("doc").alias("first"))
     joined = base.join(copies, "text_sha").join(done, ["doc", "key"], "left")
     whole = (F.col("doc") > F.col("first")) & (F.col("n_words") >= width)
@@ -312,13 +319,26 @@ def remove_repeats(docs: DataFrame, width: int = 13, with_text: bool = False) ->
         F.when(whole, F.array(span)).otherwise(F.coalesce("spans", empty)).alias("spans"), "text_sha", *text)
 
 
+def remove_repeats(docs: DataFrame, width: int = 13, with_text: bool = False) -> DataFrame:
+    """(doc_id, n_words, n_removed, kept_sha256, spans, text_sha) of documents (doc_id, text).
+
+    ``spans`` are the removed ranges of words, in order. Words are runs without ASCII white space. Null text
+    has none; texts of fewer than ``width`` words lose nothing. Of copies the one with the smallest doc_id
+    counts; rows of one doc_id do not remove from each other. A null doc_id is greater than all others.
+    ``with_text`` adds ``kept_text``: the words left, joined by blanks, or null where none was removed.
+    """
+    return _result(*_search(docs, width, with_text), width, with_text)
+
+
 @own_columns
 def rewrite(docs: DataFrame, width: int = 13) -> DataFrame:
     """``docs`` with the repeats cut out of ``text``, and ``n_chars``, if there is one, counted again. Texts without
     repeats stay as they are; rows stay, even those with no words left."""
     names = docs.columns
-    found = remove_repeats(docs, width, True).where("kept_text is not null").groupBy(
-        F.col("doc_id").alias("__doc"), F.col("text_sha").alias("__sha")).agg(F.any_value("kept_text").alias("__kept"))
+    base, done = _search(docs, width, True)
+    found = materialise(_result(base, done, width, True).where("kept_text is not null").groupBy(
+        F.col("doc_id").alias("__doc"), F.col("text_sha").alias("__sha")).agg(F.any_value("kept_text").alias("__kept")), "word-kept")
+    discard(base, done)
     marked = docs.withColumn("__sha_", F.sha2(whole_text(), 256))
     joined = marked.join(found, F.col("doc_id").cast("bigint").eqNullSafe(F.col("__doc")) & (F.col("__sha_") == F.col("__sha")), "left")
     new = {"text": F.coalesce("__kept", "text")}

@@ -5,7 +5,7 @@ import random
 import pytest
 
 import corpus_pipeline
-from orefold.llm import cotraining, packing
+from orefold.llm import common, cotraining, packing
 from orefold.llm.queries import WORD_VOCABULARY
 
 
@@ -54,6 +54,15 @@ def test_stages_keep_columns_and_their_decisions(spark, folder):
     assert {r.doc_id for r in cotraining.classify(docs.drop("score"), labels).where("not kept").collect()} >= {k for k in range(1, 120, 2)}
 
 
+@pytest.mark.parametrize("labels", ["true", "quality = 1"])
+def test_a_trained_classifier_leaves_no_stored_rows(spark, folder, tmp_path, labels, monkeypatch):
+    monkeypatch.setattr(common, "work_dir", lambda spark, purpose: f"{tmp_path}/stored/{purpose}")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    kept = cotraining.keep_good(docs, spark.read.parquet(f"{folder}/labels.parquet").where(labels))
+    assert (tmp_path / "stored").is_dir() and not list((tmp_path / "stored").iterdir())
+    assert 0 < kept.count() <= docs.count()
+
+
 @pytest.mark.parametrize("labels", ["quality = 5", "quality = 1"])
 def test_without_labels_of_both_classes_all_rows_stay(spark, folder, labels):
     docs = spark.read.parquet(f"{folder}/documents.parquet")

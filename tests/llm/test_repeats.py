@@ -7,7 +7,7 @@ import numpy as np
 import xxhash
 import pytest
 
-from orefold.llm import fmindex, simhash, suffixes
+from orefold.llm import common, fmindex, simhash, suffixes
 
 
 def word_brute(rows, width):
@@ -69,6 +69,23 @@ def test_the_result_shuffles_no_text_that_was_searched(odd, docs):
         assert "MapInArrow" not in found._jdf.queryExecution().executedPlan().toString()
 
 
+def test_stored_tables_go_when_nothing_reads_them_any_more(odd, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "work_dir", lambda spark, purpose: f"{tmp_path}/{purpose}")
+    fmindex.rewrite(odd)
+    assert [p.name for p in tmp_path.iterdir()] == ["word-kept"]
+    rows = [(r.doc_id, r.text) for r in odd.collect()]
+    found = fmindex.remove_repeats(odd).drop("spans", "text_sha")
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["word-base", "word-kept", "word-removed"]
+    assert sorted(map(tuple, found.collect()), key=str) == word_brute(rows, 13)
+
+
+def test_texts_that_lose_nothing_are_not_read_again(docs, tmp_path, monkeypatch, spark):
+    monkeypatch.setattr(common, "work_dir", lambda spark, purpose: f"{tmp_path}/{purpose}")
+    words = " ".join(f"word{k}" for k in range(30))
+    fmindex.remove_repeats(docs((1, words), (2, words + " more"), (3, "head " + words)))
+    assert sorted(r.doc for r in spark.read.parquet(f"{tmp_path}/word-removed").collect()) == [2, 3]
+
+
 def test_odd_rows_and_nothing(odd, docs):
     rows = [(r.doc_id, r.text) for r in odd.collect()]
     found = fmindex.remove_repeats(odd).drop("spans", "text_sha")
