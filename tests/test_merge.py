@@ -83,3 +83,23 @@ def test_change_feed(spark, rows):
     new = frame(spark, (1, "x", 1), (2, "n", 1), (4, "x", 1))
     assert rows(change_feed(old, new, ["id"])) == [
         (2, "n", 1, "update_post"), (2, None, 1, "update_pre"), (3, "x", 1, "delete"), (4, "x", 1, "insert")]
+
+
+def test_the_fact_merge_shuffles_each_staged_row_once(spark, sample, rows):
+    from orefold.queries import dimensions
+    from orefold.queries.common import LOAD_TIMES
+    from orefold.plans import facts
+    from orefold.operators.scd2 import load_time
+
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "-1")
+        merged = dimensions.fact_upsert(spark, sample)
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 2  # the merge's two sides; no lookup is left in it
+    finally:
+        spark.conf.set(key, before)
+    now = load_time(LOAD_TIMES[1])
+    first = dimensions.staged(spark, sample, 1).withColumns({"_tf_create_date": now, "_tf_update_date": now})
+    assert rows(merged) == rows(facts.upsert_sales(first, dimensions.staged(spark, sample, 2), LOAD_TIMES[2]))
